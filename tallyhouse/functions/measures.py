@@ -25,11 +25,5 @@ def share_of_rows(measure: str, places: int = 4) -> Column:
     return ratio(F.col(measure), whole, places)
 
 
-def year_month(year: Column, month: Column) -> Column:
-    return F.concat(
-        F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")
-    )
-
-
 def month_start(col: Column | str) -> Column:
     return F.trunc(col, "MM")

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.measures import month_start, ratio, rounded, share_of_rows, year_month
+from tallyhouse.functions.measures import month_start, ratio, rounded, share_of_rows
 from tallyhouse.plans import marts
 from tallyhouse.plans.warehouse import MONTH, Warehouse, today_key
 from tallyhouse.settings import UNKNOWN
@@ -23,8 +23,13 @@ ALL_STORES = "All Stores"
 # The size menu and its order.
 SIZES = ("All", "12oz", "16oz", "20oz", "24oz", "32oz", "Food")
 
-NET = F.sum("order_net_sales")
-ORDERS = F.sum("order_count")
+
+def net_sum() -> Column:
+    return F.sum("order_net_sales")
+
+
+def order_sum() -> Column:
+    return F.sum("order_count")
 
 
 # --- shared steps ------------------------------------------------------------
@@ -76,16 +81,16 @@ def month_label() -> Column:
     return F.date_format(MONTH, "yyyy-MM").alias("year_month")
 
 
-def ticket(name: str = "avg_ticket", net: Column = NET, orders: Column = ORDERS) -> Column:
-    return ratio(net, orders, 2).alias(name)
+def ticket(name: str = "avg_ticket") -> Column:
+    return ratio(net_sum(), order_sum(), 2).alias(name)
 
 
 def sales(name: str = "net_sales") -> Column:
-    return NET.alias(name)
+    return net_sum().alias(name)
 
 
 def orders(name: str = "order_count") -> Column:
-    return ORDERS.alias(name)
+    return order_sum().alias(name)
 
 
 # --- overview ----------------------------------------------------------------
@@ -214,7 +219,7 @@ def royalties_current_month(w: Warehouse) -> DataFrame:
 
 def _by_channel(fact: DataFrame, w: Warehouse) -> DataFrame:
     per_destination = fact.groupBy("destination_key").agg(
-        NET.alias("order_net_sales"), ORDERS.alias("order_count")
+        net_sum().alias("order_net_sales"), order_sum().alias("order_count")
     )
     known = channels(per_destination, w).filter(F.col("channel") != "Unknown")
     return known.groupBy("channel").agg(sales(), orders(), ticket())
@@ -268,7 +273,7 @@ def drivethu_monthly(w: Warehouse) -> DataFrame:
 def _unknown_destination(w: Warehouse, unknown_name: str) -> DataFrame:
     unknown = F.sum(F.when(F.col("destination_key") == 0, F.col("order_count")).otherwise(0))
     monthly = w.fact_order.groupBy(MONTH).agg(
-        unknown.alias(unknown_name), orders("total_orders"), ratio(unknown, ORDERS, 4).alias("unknown_pct")
+        unknown.alias(unknown_name), orders("total_orders"), ratio(unknown, order_sum(), 4).alias("unknown_pct")
     )
     return monthly.select(month_label(), unknown_name, "total_orders", "unknown_pct").orderBy(
         "year_month"

@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleansing as C
-from tallyhouse.functions.measures import ratio, rounded, share_of_rows
+from tallyhouse.functions.measures import ratio, share_of_rows
 from tallyhouse.operators.facts import ORDER_KEY, attribute_campaigns
-from tallyhouse.plans.dashboard import NET, ORDERS, days, latest_month, month_label, store_names
+from tallyhouse.plans.dashboard import (
+    days,
+    latest_month,
+    month_label,
+    net_sum,
+    order_sum,
+    store_names,
+)
 from tallyhouse.plans.warehouse import MONTH, Warehouse
 
 # --- joins --------------------------------------------------------------------
@@ -16,7 +23,7 @@ from tallyhouse.plans.warehouse import MONTH, Warehouse
 
 def sales_by_store(w: Warehouse) -> DataFrame:
     """Inner lookup of store attributes on already rolled-up keys."""
-    rows = w.fact_order.groupBy("store_key").agg(NET.alias("net_sales"), ORDERS.alias("orders"))
+    rows = w.fact_order.groupBy("store_key").agg(net_sum().alias("net_sales"), order_sum().alias("orders"))
     return store_names(rows, w, "royalty_rate").drop("store_key")
 
 
@@ -57,16 +64,16 @@ def orders_with_detail(w: Warehouse) -> DataFrame:
     detail = w.fact_order_detail.select(*key, "discount_total", "tax_amount")
     both = w.fact_order.join(detail, key)
     return both.groupBy("source_system", "store_key").agg(
-        NET.alias("net_sales"),
+        net_sum().alias("net_sales"),
         F.sum("discount_total").alias("discount_total"),
         F.sum("tax_amount").alias("tax_amount"),
-        ORDERS.alias("orders"),
+        order_sum().alias("orders"),
     )
 
 
 def net_by_day_both_facts(w: Warehouse) -> DataFrame:
     """Full outer reconciliation of order and employee sales by day."""
-    a = w.fact_order.groupBy("date_key").agg(NET.alias("order_net"))
+    a = w.fact_order.groupBy("date_key").agg(net_sum().alias("order_net"))
     b = w.fact_by_employee.groupBy("date_key").agg(F.sum("net_sales").alias("employee_net"))
     gap = F.coalesce("order_net", F.lit(0)) - F.coalesce("employee_net", F.lit(0))
     return a.join(b, "date_key", "full_outer").withColumn("gap", gap)
@@ -74,7 +81,7 @@ def net_by_day_both_facts(w: Warehouse) -> DataFrame:
 
 def store_share(w: Warehouse) -> DataFrame:
     """Each store against a one-row total."""
-    rows = w.fact_order.groupBy("store_key").agg(NET.alias("net_sales"))
+    rows = w.fact_order.groupBy("store_key").agg(net_sum().alias("net_sales"))
     total = rows.agg(F.sum("net_sales").alias("total"))
     shared = rows.crossJoin(F.broadcast(total)).withColumn(
         "share", ratio(F.col("net_sales"), F.col("total"), 4)
@@ -156,7 +163,7 @@ def null_counts(w: Warehouse) -> DataFrame:
 def busy_store_days(w: Warehouse, min_orders: int) -> DataFrame:
     """Groups kept by their own aggregate."""
     rows = w.fact_order.groupBy("store_key", "date_key").agg(
-        ORDERS.alias("orders"), NET.alias("net_sales")
+        order_sum().alias("orders"), net_sum().alias("net_sales")
     )
     return store_names(rows.filter(F.col("orders") >= min_orders), w).drop("store_key")
 
@@ -164,7 +171,7 @@ def busy_store_days(w: Warehouse, min_orders: int) -> DataFrame:
 def mean_day_by_store(w: Warehouse) -> DataFrame:
     """Daily sums first, their mean afterwards."""
     daily = w.fact_order.groupBy("store_key", "date_key").agg(
-        NET.alias("net"), ORDERS.alias("orders")
+        net_sum().alias("net"), order_sum().alias("orders")
     )
     rows = daily.groupBy("store_key").agg(
         ratio(F.sum("net"), F.count("*"), 2).alias("avg_day"),
@@ -175,7 +182,7 @@ def mean_day_by_store(w: Warehouse) -> DataFrame:
 
 def store_by_source(w: Warehouse, fill: bool) -> DataFrame:
     """Pivot over fixed sources; absent cells NULL or 0."""
-    rows = w.fact_order.groupBy(MONTH, "store_key", "source_system").agg(NET.alias("net"))
+    rows = w.fact_order.groupBy(MONTH, "store_key", "source_system").agg(net_sum().alias("net"))
     tags = ["feed_a", "feed_b", "feed_c"]
     wide = rows.groupBy(MONTH, "store_key").pivot("source_system", tags).sum("net")
     return store_names(wide.na.fill(0) if fill else wide, w).drop("store_key")
@@ -225,7 +232,7 @@ def first_category_per_canonical(w: Warehouse) -> DataFrame:
 
 def store_month_lag(w: Warehouse) -> DataFrame:
     """Previous month of each store."""
-    rows = w.fact_order.groupBy("store_key", MONTH).agg(NET.alias("net_sales"))
+    rows = w.fact_order.groupBy("store_key", MONTH).agg(net_sum().alias("net_sales"))
     order = Window.partitionBy("store_key").orderBy(MONTH)
     lagged = rows.withColumn("prev_net_sales", F.lag("net_sales").over(order))
     return store_names(lagged, w).select(
@@ -239,7 +246,7 @@ def running_sales(w: Warehouse) -> DataFrame:
     Months are summed first, so the ordered pass over one partition sees one row
     per month; days then run inside their month.
     """
-    daily = w.fact_order.groupBy(MONTH, "date_key").agg(NET.alias("net_sales"))
+    daily = w.fact_order.groupBy(MONTH, "date_key").agg(net_sum().alias("net_sales"))
     monthly = daily.groupBy(MONTH).agg(F.sum("net_sales").alias("_month"))
     before = Window.orderBy(MONTH).rowsBetween(Window.unboundedPreceding, -1)
     starts = monthly.select(MONTH, F.coalesce(F.sum("_month").over(before), F.lit(0)).alias("_start"))
@@ -252,7 +259,7 @@ def running_sales(w: Warehouse) -> DataFrame:
 
 def source_share(w: Warehouse) -> DataFrame:
     """Share of the total over aggregated rows."""
-    rows = w.fact_order.groupBy("source_system").agg(NET.alias("net_sales"), ORDERS.alias("orders"))
+    rows = w.fact_order.groupBy("source_system").agg(net_sum().alias("net_sales"), order_sum().alias("orders"))
     return rows.withColumn("share", share_of_rows("net_sales"))
 
 
@@ -276,7 +283,7 @@ def top_orders(w: Warehouse, k: int) -> DataFrame:
 
 def weekdays_in_order(w: Warehouse) -> DataFrame:
     """Rows in a hand-written order, weekend first (S3)."""
-    daily = w.fact_order.groupBy("date_key").agg(ORDERS.alias("orders"))
+    daily = w.fact_order.groupBy("date_key").agg(order_sum().alias("orders"))
     rows = days(daily, w, "day_name").groupBy("day_name").agg(F.sum("orders").alias("orders"))
     place = F.when(F.col("day_name") == "Saturday", 1).when(F.col("day_name") == "Sunday", 2)
     return rows.withColumn("place", place.otherwise(3)).orderBy("place", "day_name")
@@ -293,12 +300,3 @@ def staff_names(w: Warehouse) -> DataFrame:
     a = w.raw_a.select(C.tidy("Employee Name").alias("employee_name"))
     b = w.raw_b.select(C.tidy("Staff").alias("employee_name"))
     return a.union(b).distinct()
-
-
-def royalty_by_month(w: Warehouse) -> DataFrame:
-    """Royalty due per store and month: decimal rate times decimal sales."""
-    rows = w.fact_order.groupBy("store_key", MONTH).agg(NET.alias("net_sales"))
-    due = rounded(F.col("net_sales") * F.col("royalty_rate"), 2)
-    return store_names(rows, w, "royalty_rate").select(
-        "store_name", F.col(MONTH).alias("month"), due.alias("royalty_due")
-    )
