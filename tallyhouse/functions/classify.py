@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,10 +89,12 @@ class Rung:
     tail: tuple[str, ...] = ()  # alternative to the last group: the text ends so
 
     def test(self, text: Column) -> Column:
-        groups = [reduce(or_, [text.contains(w) for w in group]) for group in self.need]
+        """One pattern per group keeps the expression small enough to compile."""
+        patterns = ["|".join(map(re.escape, group)) for group in self.need]
         if self.tail:
-            groups[-1] = reduce(or_, [text.endswith(w) for w in self.tail], groups[-1])
-        return reduce(and_, [~text.contains(w) for w in self.bar], reduce(and_, groups))
+            patterns[-1] += "|(" + "|".join(map(re.escape, self.tail)) + ")$"
+        out = reduce(and_, [text.rlike(p) for p in patterns])
+        return out & ~text.rlike("|".join(map(re.escape, self.bar))) if self.bar else out
 
 
 # The first rung that holds decides.

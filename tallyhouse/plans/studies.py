@@ -29,7 +29,7 @@ def food_fact(a: DataFrame, b: DataFrame, feed_b_store: str = "Feed B") -> DataF
     from_a = live.select(
         P.parse_mixed_date("Closed Date/Time").alias("sale_date"),
         F.col("Location").alias("location"),
-        classify_by_keyword("Item Name").alias("product"),
+        _if_any(classify_by_keyword("Item Name")).alias("product"),
         F.coalesce(P.clean_currency("Net Sales"), _zero()).alias("net_sales"),
         F.col("Item Name").alias("item_name"),
         F.lit(FEED_A).alias("source"),
@@ -37,12 +37,20 @@ def food_fact(a: DataFrame, b: DataFrame, feed_b_store: str = "Feed B") -> DataF
     from_b = b.filter(F.col("Type") == "SALE").select(
         P.parse_any_date("Date").alias("sale_date"),
         F.lit(feed_b_store).alias("location"),
-        classify_by_name("Item").alias("product"),
+        _if_any(classify_by_name("Item")).alias("product"),
         F.coalesce(F.col("FinalPrice").try_cast(P.MONEY), _zero()).alias("net_sales"),
         F.col("Item").alias("item_name"),
         F.lit(FEED_B).alias("source"),
     )
-    return from_a.unionByName(from_b).filter(F.col("product").isNotNull())
+    return from_a.unionByName(from_b)
+
+
+def _if_any(value: Column) -> Column:
+    """Drop the row where ``value`` is NULL, evaluating it once per row.
+
+    A filter on a computed column would be pushed below it and compute it twice.
+    """
+    return F.explode(F.array_compact(F.array(value)))
 
 
 def _month() -> Column:

@@ -92,7 +92,7 @@ lx AS (
   CASE WHEN lno = 6 AND rf = 'R' THEN 'Modifiers(7024)' ELSE {cases(RC_B, 'p_type')} END AS grp_b,
   CASE WHEN sk % 10 <> 0 THEN s_name END AS staff_b,
   {cases(FIRST, "split_part(p_name, ' ', 1)")} || ' ' || {cases(SECOND, "split_part(p_name, ' ', 2)")} AS dessert,
-  lno || '-' || pk || '-' || sk AS entry
+  lno || '-' || pk || '-' || sk || '-' || CAST(q AS INTEGER) AS entry
  FROM ln),
 ra AS (SELECT loc, d, emp_a AS emp, pk, name_a AS iname, CAST(pk * 10 AS DOUBLE) AS plu, price, disc, tax,
   net, rc_a AS rc, dest_a AS dest, void, modi, CAST(ok AS VARCHAR) AS oid, 'feed_a' AS src, ing, file_a

@@ -18,6 +18,7 @@ def build_session(app: str = "tallyhouse", cpus: int | None = None) -> SparkSess
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.session.timeZone", "UTC")

@@ -209,7 +209,9 @@ def raw_feed_a(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def _entry_id() -> Column:
-    return F.concat_ws("-", "line_no", "part_key", "employee_no")
+    return F.concat_ws(
+        "-", "line_no", "part_key", "employee_no", F.col("quantity").cast("int").cast("string")
+    )
 
 
 def _day_part() -> Column:
