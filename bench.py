@@ -14,7 +14,7 @@ from tallyhouse.registry.queries import registered  # noqa: E402
 from tallyhouse.session import build_session  # noqa: E402
 
 BUILD = (
-    "lines", "item_catalog", "stg_orders", "dim_date", "dim_store", "dim_product",
+    "lines", "store_days", "item_catalog", "stg_orders", "dim_date", "dim_store", "dim_product",
     "dim_destination", "dim_employee", "dim_campaign", "manifest",
     "fact_order", "fact_order_detail", "fact_sale_item", "fact_by_employee",
 )

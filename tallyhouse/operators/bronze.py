@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.storage import settle
+
 STORE_DAY = ["Location", "Date"]
 
 
-def bronze_a(csv: DataFrame, api: DataFrame) -> DataFrame:
+def store_days(csv: DataFrame) -> DataFrame:
+    """Store-days that CSV delivers."""
+    return csv.select(*STORE_DAY).distinct()
+
+
+def bronze_a(csv: DataFrame, api: DataFrame, covered: DataFrame | None = None) -> DataFrame:
     """All CSV rows, and XML rows of the store-days that CSV never delivered.
 
-    The anti join probes distinct store-days, a small set next to the lines.
+    The anti join probes distinct store-days, a small set next to the lines; as a
+    written table (``covered``) it is broadcast when its size allows.
     """
-    covered = csv.select(*STORE_DAY).distinct()
+    covered = settle(store_days(csv)) if covered is None else covered
     gaps = api.join(covered, STORE_DAY, "left_anti")
     return csv.unionByName(gaps, allowMissingColumns=True)
 

@@ -102,8 +102,8 @@ def quantity_gaps(fact_items: DataFrame, stg, dim_date, dim_store) -> DataFrame:
 
 def items_without_order(fact_items: DataFrame, fact_order: DataFrame) -> DataFrame:
     """Orders that have item rows and no order row."""
-    parents = fact_order.select(*ORDER_KEY)
-    return fact_items.join(parents, ORDER_KEY, "left_anti").select(*ORDER_KEY).distinct()
+    children = fact_items.select(*ORDER_KEY).distinct()
+    return children.join(fact_order.select(*ORDER_KEY), ORDER_KEY, "left_anti")
 
 
 def _uncovered(bronze_days: DataFrame, stg: DataFrame) -> DataFrame:
@@ -180,25 +180,25 @@ def line_sequence(lines: DataFrame, keys: list[str], content: list[str]) -> Data
     numbered on their own, and a running count over at most 4,096 slice sizes
     gives each slice its start.
     """
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in content]))
-    marked = lines.withColumn("_digest", digest).withColumn(
-        "_slice", F.substring("_digest", 1, SLICE_DIGITS)
-    )
-    sizes = marked.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in content]
+    digest = F.md5(F.concat_ws("|", *text))
+    group = [f"_key{i}" for i in range(len(keys))]
+    marked = lines.select(
+        "*",
+        *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(g) for k, g in zip(keys, group)],
+        digest.alias("_digest"),
+        F.substring(digest, 1, SLICE_DIGITS).alias("_slice"),
     )
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_digest")
+    place = [*group, "_slice"]
+    sizes = marked.groupBy(*place).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Only groups with several slices have a start above 0.
+    starts = sizes.withColumn("_start", F.sum("_size").over(before)).filter("_start > 0")
+    inside = Window.partitionBy(*place).orderBy("_digest")
     numbered = marked.withColumn("_rank", F.row_number().over(inside))
-    same = F.col("_slice") == F.col("_s")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    placed = numbered.join(starts, same)
-    return placed.select(
-        *lines.columns, (F.col("_start") + F.col("_rank")).cast("bigint").alias("line_seq")
+    shift = F.coalesce("_start", F.lit(0)) + F.col("_rank")
+    return numbered.join(starts.drop("_size"), place, "left").select(
+        *lines.columns, shift.cast("bigint").alias("line_seq")
     )
 
 

@@ -205,13 +205,13 @@ def global_figures(w: Warehouse) -> DataFrame:
 def last_order_per_store(w: Warehouse) -> DataFrame:
     """Latest order of each store.
 
-    Each store's latest day is found first with a combining aggregate; only the
-    orders of that day are ranked.
+    The filter on rank 1 becomes a group limit before the shuffle: every task
+    passes on one order per store.
     """
-    last = w.fact_order.groupBy("store_key").agg(F.max("date_key").alias("date_key"))
-    recent = w.fact_order.join(last, ["store_key", "date_key"], "left_semi")
-    newest = Window.partitionBy("store_key").orderBy(F.col("order_id").desc(), "source_system")
-    first = recent.withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
+    newest = Window.partitionBy("store_key").orderBy(
+        F.col("date_key").desc(), F.col("order_id").desc(), "source_system"
+    )
+    first = w.fact_order.withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
     return store_names(first, w).select("store_name", "date_key", "order_id", "order_net_sales")
 
 

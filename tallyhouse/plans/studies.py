@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tallyhouse.functions import parsing as P
 from tallyhouse.functions.classify import PRODUCTS, classify_by_keyword, classify_by_name
 from tallyhouse.functions.measures import ratio, share_of_rows
 from tallyhouse.settings import FEED_A, FEED_B
+from tallyhouse.storage import settle
 
 
 def _zero() -> Column:
@@ -26,18 +28,19 @@ def food_fact(a: DataFrame, b: DataFrame, feed_b_store: str = "Feed B") -> DataF
     Feed A loses rows without a readable date, feed B keeps its sales only.
     """
     live = a.filter(P.flag_is_false("Voided") & P.flag_is_false("Is Modifier"))
-    from_a = live.select(
+    sold = b.filter(F.col("Type") == "SALE")
+    from_a = _classified(live, "Item Name", classify_by_keyword).select(
         P.parse_mixed_date("Closed Date/Time").alias("sale_date"),
         F.col("Location").alias("location"),
-        _if_any(classify_by_keyword("Item Name")).alias("product"),
+        F.col("product"),
         F.coalesce(P.clean_currency("Net Sales"), _zero()).alias("net_sales"),
         F.col("Item Name").alias("item_name"),
         F.lit(FEED_A).alias("source"),
     ).filter(F.col("sale_date").isNotNull())
-    from_b = b.filter(F.col("Type") == "SALE").select(
+    from_b = _classified(sold, "Item", classify_by_name).select(
         P.parse_any_date("Date").alias("sale_date"),
         F.lit(feed_b_store).alias("location"),
-        _if_any(classify_by_name("Item")).alias("product"),
+        F.col("product"),
         F.coalesce(F.col("FinalPrice").try_cast(P.MONEY), _zero()).alias("net_sales"),
         F.col("Item").alias("item_name"),
         F.lit(FEED_B).alias("source"),
@@ -45,12 +48,13 @@ def food_fact(a: DataFrame, b: DataFrame, feed_b_store: str = "Feed B") -> DataF
     return from_a.unionByName(from_b)
 
 
-def _if_any(value: Column) -> Column:
-    """Drop the row where ``value`` is NULL, evaluating it once per row.
+def _classified(lines: DataFrame, item: str, classify: Callable[[str], Column]) -> DataFrame:
+    """Lines whose item has a class, with the class.
 
-    A filter on a computed column would be pushed below it and compute it twice.
+    The ladder of patterns runs once per distinct name of the menu, not per line.
     """
-    return F.explode(F.array_compact(F.array(value)))
+    names = lines.select(item).distinct().select(item, classify(item).alias("product"))
+    return lines.join(settle(names.filter(F.col("product").isNotNull())), item)
 
 
 def _month() -> Column:

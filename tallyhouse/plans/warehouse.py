@@ -19,24 +19,11 @@ from tallyhouse.operators import bronze, dimensions, facts, silver
 from tallyhouse.session import fresh_dir
 from tallyhouse.settings import Settings
 from tallyhouse.sources import tables
+from tallyhouse.storage import write_table
 
 MONTH = "sale_month"
 
 
-def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    """Write once and read back with the same columns and types.
-
-    Partitioned tables are rebalanced on the partition column: adaptive
-    execution splits a month that holds too much and merges the small ones, so
-    file sizes stay even without a fixed number of buckets.
-    """
-    writer = df.hint("rebalance", partition).write if partition else df.write
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
 class Warehouse:
     """Tables of one data folder; every attribute is a DataFrame."""
 
@@ -77,9 +64,13 @@ class Warehouse:
     def raw_c(self) -> DataFrame:
         return tables.raw_feed_c(self.lines, self.settings)
 
+    @cached_property
+    def store_days(self) -> DataFrame:
+        return self._keep("store_days", lambda: bronze.store_days(self.raw_a))
+
     @cached_property
     def bronze_ac(self) -> DataFrame:
-        return bronze.bronze_a(self.raw_a, self.raw_c)
+        return bronze.bronze_a(self.raw_a, self.raw_c, self.store_days)
 
     # --- silver ---------------------------------------------------------------
 

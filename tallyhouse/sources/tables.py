@@ -84,7 +84,9 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.pmod(key, F.lit(10)) == 4, F.lit(FEED_C))
         .otherwise(F.lit(FEED_A))
     )
-    price, rate = money("l_extendedprice"), money("l_discount")
+    # Narrow decimals: products stay within 18 digits, where Spark computes on longs.
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    rate, tax_rate = [F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax")]
     return lines.select(
         key.alias("order_key"),
         F.col("o_custkey").alias("customer_key"),
@@ -95,10 +97,10 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("part_key"),
         F.col("l_suppkey").alias("employee_no"),
         F.col("l_quantity").cast("decimal(18,3)").alias("quantity"),
-        price.alias("price"),
+        money(price).alias("price"),
         money(price * rate).alias("discount"),
-        money(price * (F.lit(1).cast(MONEY) - rate)).alias("net"),
-        money(price * money("l_tax")).alias("tax"),
+        money(price * (F.lit(1).cast("decimal(1,0)") - rate)).alias("net"),
+        money(price * tax_rate).alias("tax"),
         F.col("l_returnflag").alias("return_flag"),
         F.col("p_name").alias("part_name"),
         F.col("p_type").alias("part_type"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.storage import settle
 from tallyhouse.streaming.reload import Table
 
 STORE_DAY = ["store_name", "sale_date"]
@@ -47,7 +48,7 @@ def touched_slices(new: DataFrame, keys: list[str] = STORE_DAY) -> DataFrame:
 
 def complete_slices(new: DataFrame, all_rows: DataFrame, keys: list[str] = STORE_DAY) -> DataFrame:
     """All source rows of the slices that a batch touches: what a replace must write."""
-    return all_rows.join(touched_slices(new, keys), keys, "left_semi")
+    return all_rows.join(settle(touched_slices(new, keys)), keys, "left_semi")
 
 
 def upsert_slices(rows: DataFrame, target: Table) -> None:
@@ -57,7 +58,7 @@ def upsert_slices(rows: DataFrame, target: Table) -> None:
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not in the batch, plus the batch as it is."""
-    gone = batch.select(*keys).distinct()
+    gone = settle(batch.select(*keys).distinct())
     return target.join(gone, keys, "left_anti").unionByName(batch)
 
 
