@@ -9,9 +9,12 @@ from tallyhouse.settings import Brand
 
 MONEY = "decimal(18,2)"
 
-# Timestamp patterns of the feeds.
-FEED_A_PATTERNS = ("M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a")
-FEED_B_PATTERN = "M/d/yy h:mm a"
+# The feeds write M/d/yyyy h:mm a with or without seconds, or with a
+# two-digit year, where 69 to 99 mean 19xx.
+STAMP = "M/d/yyyy h:mm:ss a"
+NO_SECONDS = r"^(\S+ \d{1,2}:\d{2}) "
+YEAR_19 = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d) "
+YEAR_20 = r"^(\d{1,2}/\d{1,2}/)(\d{2}) "
 
 # Where a file name starts and ends inside a path.
 FEED_A_FILE = r"(DDBB_[^/]*\.csv)"
@@ -19,24 +22,28 @@ FEED_B_FILE = r"([^/=]*hqaccount_[^/]*_transactions_[^/]*\.csv)"
 
 
 def parse_mixed_ts(col: Column | str) -> Column:
-    """Feed-A timestamp with or without seconds; anything else is NULL."""
-    text = F.trim(col)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in FEED_A_PATTERNS])
+    """Feed-A timestamp with or without seconds; anything else is NULL.
+
+    The text is brought to one layout first: trying layouts in turn would raise
+    and swallow an exception per row.
+    """
+    text = F.regexp_replace(F.trim(col), NO_SECONDS, "$1:00 ")
+    return F.try_to_timestamp(text, F.lit(STAMP))
 
 
 def parse_mixed_date(col: Column | str) -> Column:
     return F.to_date(parse_mixed_ts(col))
 
 
-def parse_feed_b_date(col: Column | str) -> Column:
-    """Two-digit years 69-99 are 1969-1999; Spark alone would read 2069-2099."""
-    day = F.to_date(F.try_to_timestamp(F.trim(col), F.lit(FEED_B_PATTERN)))
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
-
-
 def parse_any_date(col: Column | str) -> Column:
     """Feed-A or feed-B spelling, for reports that read both."""
-    return F.coalesce(parse_feed_b_date(col), parse_mixed_date(col))
+    text = F.regexp_replace(F.trim(col), YEAR_19, "$119$2 ")
+    return parse_mixed_date(F.regexp_replace(text, YEAR_20, "$120$2 "))
+
+
+def parse_feed_b_date(col: Column | str) -> Column:
+    """Feed-B date; its two-digit year would read as 20xx in Spark's own pattern."""
+    return parse_any_date(col)
 
 
 def clean_currency(col: Column | str) -> Column:

@@ -53,8 +53,8 @@ def _classified(lines: DataFrame, item: str, classify: Callable[[str], Column])
 
     The ladder of patterns runs once per distinct name of the menu, not per line.
     """
-    names = lines.select(item).distinct().select(item, classify(item).alias("product"))
-    return lines.join(settle(names.filter(F.col("product").isNotNull())), item)
+    names = settle(lines.select(item).distinct().select(item, classify(item).alias("product")))
+    return lines.join(names.filter(F.col("product").isNotNull()), item)
 
 
 def _month() -> Column:
