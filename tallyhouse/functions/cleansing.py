@@ -52,6 +52,11 @@ def tidy(col: Column | str) -> Column:
     return F.upper(F.trim(_c(col)))
 
 
+def has_text(col: Column | str) -> Column:
+    """Not blank, for filters: NULL yields NULL, which drops the row."""
+    return F.trim(_c(col)) != ""
+
+
 def is_blank(col: Column | str) -> Column:
     """NULL, empty or only spaces."""
     return F.coalesce(F.trim(_c(col)) == "", F.lit(True))

@@ -204,7 +204,7 @@ def line_sequence(lines: DataFrame, keys: list[str], content: list[str]) -> Data
 
 def catalog_coverage(csv: DataFrame) -> DataFrame:
     """Items, how many have a name, how many have several."""
-    named = F.when(~C.is_blank("Item Name"), C.tidy("Item Name"))
+    named = F.when(C.has_text("Item Name"), C.tidy("Item Name"))
     items = (
         csv.filter(F.col("Item ID").isNotNull())
         .groupBy("Item ID")
@@ -241,7 +241,7 @@ def key_cardinality(df: DataFrame, candidates: list[str]) -> DataFrame:
     """
 
     def profile(name: str) -> DataFrame:
-        groups = df.filter(~C.is_blank(F.col(name).cast("string"))).groupBy(name).agg(
+        groups = df.filter(C.has_text(F.col(name).cast("string"))).groupBy(name).agg(
             F.count("*").alias("n")
         )
         return groups.agg(

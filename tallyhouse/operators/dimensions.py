@@ -64,10 +64,10 @@ def dim_product(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
     Ties inside a feed go to the first category by name.
     """
     a_rows = bronze_ac.filter(
-        ~C.is_blank("Item Name") & ~F.col("Voided") & ~F.col("Is Modifier")
+        C.has_text("Item Name") & ~F.col("Voided") & ~F.col("Is Modifier")
     )
     b_rows = bronze_b.filter(
-        ~C.is_blank("Item")
+        C.has_text("Item")
         & ~F.lower(C.group_label("Group")).contains("modifier")
         & F.col("Type").isin("SALE", "UPDATE")
     )
@@ -90,7 +90,7 @@ def dim_product(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
 
 def dim_destination(bronze_ac: DataFrame) -> DataFrame:
     names = (
-        bronze_ac.filter(~C.is_blank("Destination"))
+        bronze_ac.filter(C.has_text("Destination"))
         .select(C.tidy("Destination").alias("destination_name"))
         .distinct()
     )
@@ -105,9 +105,9 @@ def dim_destination(bronze_ac: DataFrame) -> DataFrame:
 def dim_employee(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
     """Names of both feeds; ids that the XML feed writes as names are left out."""
     a_names = bronze_ac.filter(
-        ~C.is_blank("Employee Name") & ~F.col("Employee Name").rlike("^[0-9]+$")
+        C.has_text("Employee Name") & ~F.col("Employee Name").rlike("^[0-9]+$")
     ).select(C.tidy("Employee Name").alias("employee_name"))
-    b_names = bronze_b.filter(~C.is_blank("Staff")).select(
+    b_names = bronze_b.filter(C.has_text("Staff")).select(
         C.tidy("Staff").alias("employee_name")
     )
     names = a_names.union(b_names).distinct()
@@ -117,7 +117,7 @@ def dim_employee(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
 
 def dim_campaign(seed: DataFrame) -> DataFrame:
     """Cleaned campaign map; a campaign has one key on all its products' rows."""
-    clean = seed.filter(~C.is_blank("campaign_name") & ~C.is_blank("product_canonical_name"))
+    clean = seed.filter(C.has_text("campaign_name") & C.has_text("product_canonical_name"))
     campaign = C.tidy("campaign_name")
     keyed = clean.select(
         C.surrogate_key(campaign).alias("campaign_key"),

@@ -19,7 +19,7 @@ ORDER_KEY = ["source_system", "order_id"]
 
 def keyed_lines(stg: DataFrame) -> DataFrame:
     """Lines that carry an order key."""
-    return stg.filter(~C.is_blank("order_ref"))
+    return stg.filter(C.has_text("order_ref"))
 
 
 def _with_dates(df: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def item_catalog(csv: DataFrame) -> DataFrame:
     one item sells. Ties on the day: name, PLU, category ascending.
     """
     spellings = (
-        csv.filter(F.col("Item ID").isNotNull() & ~C.is_blank("Item Name"))
+        csv.filter(F.col("Item ID").isNotNull() & C.has_text("Item Name"))
         .groupBy(
             F.col("Item ID").alias("item_id"),
             C.tidy("Item Name").alias("item_name"),

@@ -343,8 +343,8 @@ def overall_performance(w: Warehouse, store: str = ALL_STORES) -> DataFrame:
 def size_breakdown(w: Warehouse, store: str = ALL_STORES, size: str = "All") -> DataFrame:
     """Top 200 products of a size by net sales with their share of that selection.
 
-    The total is one row that joins every product; no window gathers the
-    products in one task. Size variants stay separate rows of one canonical name.
+    The total is a scalar subquery; no window gathers the products in one task.
+    Size variants stay separate rows of one canonical name.
     """
     chosen = w.dim_product.filter((F.col("product_name") != UNKNOWN) & _size_test(size))
     per_product = (
@@ -353,10 +353,9 @@ def size_breakdown(w: Warehouse, store: str = ALL_STORES, size: str = "All") ->
         .agg(F.sum("item_net_sales").alias("net_sales"), F.sum("qty").alias("items_sold"))
         .join(chosen, "product_key")
     )
-    total = per_product.agg(F.sum("net_sales").alias("total_net_sales"))
+    total = per_product.agg(F.sum("net_sales")).scalar()
     return (
         per_product.filter("net_sales > 0")
-        .crossJoin(F.broadcast(total))
         .orderBy(F.col("net_sales").desc(), "product_name")
         .limit(200)
         .select(
@@ -364,7 +363,7 @@ def size_breakdown(w: Warehouse, store: str = ALL_STORES, size: str = "All") ->
             "revenue_center_name",
             "net_sales",
             "items_sold",
-            ratio(F.col("net_sales"), F.col("total_net_sales"), 4).alias("pct_of_sales"),
+            ratio(F.col("net_sales"), total, 4).alias("pct_of_sales"),
         )
     )
 
@@ -708,11 +707,11 @@ def unknown_destination(w: Warehouse) -> DataFrame:
 
 
 def unknown_totals(w: Warehouse) -> DataFrame:
-    staff = w.dim_employee.filter(F.col("employee_name") == UNKNOWN).agg(
-        F.count("*").alias("unknown_employee_rows")
+    staff = w.dim_employee.filter(F.col("employee_name") == UNKNOWN)
+    return w.fact_order.filter("destination_key = 0").agg(
+        staff.select(F.count("*")).scalar().alias("unknown_employee_rows"),
+        orders("unknown_dest_orders"),
     )
-    lost = w.fact_order.filter("destination_key = 0").agg(orders("unknown_dest_orders"))
-    return staff.crossJoin(lost)
 
 
 def freshness_monitor(w: Warehouse, k: int = 20) -> DataFrame:

@@ -80,12 +80,10 @@ def net_by_day_both_facts(w: Warehouse) -> DataFrame:
 
 
 def store_share(w: Warehouse) -> DataFrame:
-    """Each store against a one-row total."""
+    """Each store against the one-row total, a scalar subquery."""
     rows = w.fact_order.groupBy("store_key").agg(net_sum().alias("net_sales"))
-    total = rows.agg(F.sum("net_sales").alias("total"))
-    shared = rows.crossJoin(F.broadcast(total)).withColumn(
-        "share", ratio(F.col("net_sales"), F.col("total"), 4)
-    )
+    total = w.fact_order.select(net_sum()).scalar()
+    shared = rows.withColumn("share", ratio(F.col("net_sales"), total, 4))
     return store_names(shared, w).select("store_name", "net_sales", "share")
 
 

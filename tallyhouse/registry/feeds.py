@@ -297,9 +297,8 @@ def seed(w: Warehouse) -> DataFrame:
 def split_parts(w: Warehouse) -> DataFrame:
     mixed = w.raw_a.unionByName(w.raw_c, allowMissingColumns=True)
     parts = bronze.split_by_source(mixed, ["feed_a", "feed_c"])
-    whole = bronze.split_balance(mixed, parts)
-    sizes = [p.agg(F.count("*").alias(f"{t}_written")) for t, p in parts.items()]
-    return whole.crossJoin(sizes[0]).crossJoin(sizes[1])
+    written = [p.select(F.count("*")).scalar().alias(f"{t}_written") for t, p in parts.items()]
+    return bronze.split_balance(mixed, parts).select("*", *written)
 
 
 def utc_instants(w: Warehouse) -> DataFrame:

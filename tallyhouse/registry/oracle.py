@@ -637,9 +637,9 @@ TWINS: dict[str, str] = {
  SELECT product, {FOOD_SUM}, {rdiv('sum(food.net_sales)', 'count(*)', 2)} AS avg_ticket FROM food GROUP BY 1) USING (product)""", FOOD),
     "P5_channel_daily": q(f"SELECT d AS day, {CHAN_SUM} FROM ch GROUP BY d", CHAN),
     "P6_channel_weekly": q(f"SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, {CHAN_SUM} FROM ch GROUP BY 1", CHAN),
-    "P6_channel_checks": q(", ".join(["SELECT TRUE AS agrees"] + [
-        f"""{dbl("coalesce(sum(acc) FILTER (lane), 0)")} AS {n}_drive, {dbl('sum(acc)')} AS {n}_total,
- {big('count(*) FILTER (item)')} AS {n}_items""" for n in ("daily", "weekly", "raw")]) + " FROM ch", CHAN),
+    "P6_channel_checks": q(" UNION ALL ".join(
+        f"""SELECT '{n}' AS level, {dbl("coalesce(sum(acc) FILTER (lane), 0)")} AS drive_sales, {dbl('sum(acc)')} AS total_sales,
+ {big('count(*) FILTER (item)')} AS total_items, TRUE AS agrees FROM ch""" for n in ("daily", "weekly", "raw")), CHAN),
     "P6_destination_breakdown": q(f"""SELECT dest AS destination, {dbl('sum(acc)')} AS net_sales FROM ch
  WHERE dest IS NOT NULL GROUP BY 1""", CHAN),
     "P7_hourly_summary": q(f"""SELECT h AS hour, lpad(CAST(h AS VARCHAR), 2, '0') || ':00' AS hour_label, {big('o')} AS orders,

@@ -1,8 +1,9 @@
 """Replacing parts of written tables.
 
-A table is a parquet folder partitioned by the columns a load replaces. New
-rows are staged in the shared folder first; the target is then overwritten from
-the stage, partition by partition, so no job reads the folder it writes.
+A table is a parquet folder partitioned by the columns a load replaces. A job
+writes all new partitions aside and swaps them in when it commits. Rows that were
+read from the target itself are staged in the shared folder first, so no job reads
+the folder it writes.
 """
 
 from __future__ import annotations
@@ -40,18 +41,17 @@ class Table:
         df.select(*self.schema.names).write.parquet(stage)
         return self.spark.read.schema(self.schema).parquet(stage)
 
-    def replace_partitions(self, df: DataFrame) -> None:
+    def replace_partitions(self, df: DataFrame, reads_target: bool = False) -> None:
         """Overwrite the partitions that occur in ``df``; all others stay."""
-        staged = self._stage(df)
-        spread = staged.hint("rebalance", *self.partitions)
-        writer = spread.write.mode("overwrite").partitionBy(*self.partitions)
+        rows = self._stage(df) if reads_target else df.select(*self.schema.names)
+        writer = rows.hint("rebalance", *self.partitions).write.mode("overwrite")
+        writer = writer.partitionBy(*self.partitions)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        staged = self._stage(df)
-        spread = staged.hint("rebalance", *self.partitions)
-        spread.write.mode("overwrite").partitionBy(*self.partitions).parquet(self.path)
+        """Replace the whole table; staged, because the old files go before the job runs."""
+        rows = self._stage(df).hint("rebalance", *self.partitions)
+        rows.write.mode("overwrite").partitionBy(*self.partitions).parquet(self.path)
 
 
 def replace_slice(df: DataFrame, target: Table) -> None:
@@ -116,7 +116,8 @@ def _swap_range(df, kept, inside, target, span, date_col, scope_col) -> None:
     A job that dies between the two steps is repaired by running the load again.
     """
     touched = df.select(*target.schema.names)
-    if target.partitions == (date_col,) and scope_col is not None:
+    shared = target.partitions == (date_col,) and scope_col is not None
+    if shared:
         near = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
         touched = touched.unionByName(kept.filter(near))
     by = list(target.partitions)
@@ -128,7 +129,7 @@ def _swap_range(df, kept, inside, target, span, date_col, scope_col) -> None:
         old = rows.filter(F.coalesce(inside, F.lit(False))).select(*by, folder).distinct()
         # Folder names of one reload range: bounded by its days, not by its rows.
         empty = [r.folder for r in old.join(new, by, "left_anti").select("folder").collect()]
-    target.replace_partitions(touched)
+    target.replace_partitions(touched, reads_target=shared)
     for path in empty:
         folder, fs = _file_system(target.spark, path)
         fs.delete(folder, True)
