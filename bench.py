@@ -16,7 +16,7 @@ from tallyhouse.session import build_session  # noqa: E402
 BUILD = (
     "lines", "store_days", "item_catalog", "stg_orders", "dim_date", "dim_store", "dim_product",
     "dim_destination", "dim_employee", "dim_campaign", "manifest",
-    "fact_order", "fact_order_detail", "fact_sale_item", "fact_by_employee",
+    "order_grain", "fact_sale_item", "fact_by_employee",
 )
 
 

@@ -48,13 +48,14 @@ def dim_store(stg: DataFrame) -> DataFrame:
     )
 
 
-def _products(rows: DataFrame, name, canonical, category, priority: int) -> DataFrame:
-    return rows.select(
+def _products(raw: DataFrame, name, canonical, category, priority: int) -> DataFrame:
+    """Clean names and categories of distinct raw spellings, not of every line."""
+    return raw.distinct().select(
         name.alias("product_name"),
         canonical.alias("product_canonical_name"),
         category.alias("revenue_center_name"),
         F.lit(priority).alias("priority"),
-    ).distinct()
+    )
 
 
 def dim_product(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
@@ -65,12 +66,12 @@ def dim_product(bronze_ac: DataFrame, bronze_b: DataFrame) -> DataFrame:
     """
     a_rows = bronze_ac.filter(
         C.has_text("Item Name") & ~F.col("Voided") & ~F.col("Is Modifier")
-    )
+    ).select("Item Name", "Revenue Center")
     b_rows = bronze_b.filter(
         C.has_text("Item")
         & ~F.lower(C.group_label("Group")).contains("modifier")
         & F.col("Type").isin("SALE", "UPDATE")
-    )
+    ).select("Item", "Group")
     a_name, b_name = C.tidy("Item Name"), C.tidy("Item")
     both = _products(
         a_rows, a_name, C.canon_a(a_name), C.category_a("Revenue Center"), 1

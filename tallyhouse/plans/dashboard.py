@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.measures import month_start, ratio, rounded, share_of_rows
 from tallyhouse.plans import marts
-from tallyhouse.plans.warehouse import MONTH, Warehouse, today_key
+from tallyhouse.plans.warehouse import MONTH, Warehouse, day_key
 from tallyhouse.settings import UNKNOWN
 
 ALL_STORES = "All Stores"
@@ -48,7 +48,7 @@ def between_days(fact: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Day range that also prunes months."""
     return fact.filter(
         F.col(MONTH).between(F.lit(first.replace(day=1)), F.lit(last))
-        & F.col("date_key").between(today_key(first), today_key(last))
+        & F.col("date_key").between(day_key(first), day_key(last))
     )
 
 
@@ -388,7 +388,7 @@ def attachment_rate_trend(w: Warehouse) -> DataFrame:
 
 def _items_since(w: Warehouse, start: dt.date) -> DataFrame:
     return w.fact_sale_item.filter(
-        (F.col(MONTH) >= F.lit(start.replace(day=1))) & (F.col("date_key") >= today_key(start))
+        (F.col(MONTH) >= F.lit(start.replace(day=1))) & (F.col("date_key") >= day_key(start))
     )
 
 
@@ -525,7 +525,7 @@ def dow_heatmap(w: Warehouse, store: str) -> DataFrame:
     leap_day = as_of.month == 2 and as_of.day == 29
     first = as_of.replace(year=as_of.year - 1, day=28 if leap_day else as_of.day)
     recent = w.fact_order.filter(
-        (F.col(MONTH) >= F.lit(first.replace(day=1))) & (F.col("date_key") >= today_key(first))
+        (F.col(MONTH) >= F.lit(first.replace(day=1))) & (F.col("date_key") >= day_key(first))
     )
     daily = one_store(recent, w, store).groupBy("date_key").agg(sales(), orders())
     named = days(daily, w, "day_name", "day_of_week", "month_name", "month", "year")

@@ -18,7 +18,7 @@ from tallyhouse.functions.measures import month_start
 from tallyhouse.operators import bronze, dimensions, facts, silver
 from tallyhouse.session import fresh_dir
 from tallyhouse.settings import Settings
-from tallyhouse.sources import tables
+from tallyhouse.sources import feeds, orders_xml, tables
 from tallyhouse.storage import write_table
 
 MONTH = "sale_month"
@@ -133,24 +133,23 @@ class Warehouse:
     # --- facts ------------------------------------------------------------------
 
     @cached_property
-    def fact_order(self) -> DataFrame:
+    def order_grain(self) -> DataFrame:
+        """The files behind both order facts."""
         return self._keep(
-            "fact_order",
-            lambda: facts.fact_order(
+            "order_grain",
+            lambda: facts.order_grain(
                 self.stg_orders, self.dim_date, self.dim_store, self.dim_destination
             ),
             MONTH,
         )
 
+    @cached_property
+    def fact_order(self) -> DataFrame:
+        return self.order_grain.select(*facts.ORDER_COLUMNS)
+
     @cached_property
     def fact_order_detail(self) -> DataFrame:
-        return self._keep(
-            "fact_order_detail",
-            lambda: facts.fact_order_detail(
-                self.stg_orders, self.dim_date, self.dim_store, self.dim_destination
-            ),
-            MONTH,
-        )
+        return self.order_grain.select(*facts.DETAIL_COLUMNS)
 
     @cached_property
     def fact_sale_item(self) -> DataFrame:
@@ -193,6 +192,52 @@ class Warehouse:
         return getattr(self, name)
 
 
+class FeedWarehouse(Warehouse):
+    """The same tables from landed feed files instead of the given tables.
+
+    Feed A, feed B and the order XML lie in folders of their own; the campaign map
+    is a seed CSV. Bronze is written once, stamped with one load instant.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        feed_a: str,
+        feed_b: str,
+        orders: str,
+        seed: str,
+        loaded_at: dt.datetime,
+        settings: Settings = Settings(),
+    ):
+        super().__init__(spark, "", settings)
+        self.feed_a, self.feed_b, self.orders, self.seed = feed_a, feed_b, orders, seed
+        self.loaded_at = loaded_at
+
+    @cached_property
+    def raw_a(self) -> DataFrame:
+        return self._keep("raw_a", lambda: feeds.read_feed_a(self.spark, self.feed_a, self.loaded_at))
+
+    @cached_property
+    def raw_b(self) -> DataFrame:
+        def build():
+            return feeds.read_feed_b(self.spark, self.feed_b, self.settings.brand, self.loaded_at)
+
+        return self._keep("raw_b", build)
+
+    @cached_property
+    def raw_c(self) -> DataFrame:
+        def build():
+            orders_xml.check_payloads(self.spark, self.orders)
+            nested = orders_xml.read_orders(self.spark, self.orders)
+            return orders_xml.nested_to_bronze(nested, F.lit(self.loaded_at))
+
+        return self._keep("raw_c", build)
+
+    @cached_property
+    def campaign_seed(self) -> DataFrame:
+        return feeds.load_seed(self.spark, self.seed)
+
+
 _open: dict[tuple, Warehouse] = {}
 
 
@@ -207,5 +252,5 @@ def open_warehouse(
     return _open[key]
 
 
-def today_key(day: dt.date) -> int:
+def day_key(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day

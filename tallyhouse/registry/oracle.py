@@ -384,6 +384,13 @@ TWINS: dict[str, str] = {
     "A24_bronze_b": q(f"""SELECT ident AS identifier, d AS sale_date, account, staff, ref AS reference, typ AS type,
  {dbl('qty')} AS qty, {dbl('fp')} AS final_price, {dbl('disc')} AS discount, item, grp AS item_group,
  {dbl('tax')} AS tax_amount, loc AS location, file_b AS _source_file, {ts('ing')} AS _ingested_at FROM rb"""),
+    "A24_files_to_gold": q(f"""SELECT source_system, store_name, {big('count(DISTINCT ok)')} AS orders, {dbl('sum(n)')} AS net_sales,
+ {dbl('sum(i)')} AS items_sold, {dbl('sum(n)')} AS item_net_sales FROM (
+ SELECT 'feed_a' AS source_system, upper(store) AS store_name, ok, cur AS n, 1 AS i FROM ta
+  WHERE NOT void AND NOT modi AND cur IS NOT NULL
+ UNION ALL SELECT 'feed_b', upper(replace(store, ' ', '_')), ok, fpx, qx FROM tb
+  WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
+ UNION ALL SELECT 'feed_c', upper(store), ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void) GROUP BY ALL"""),
     "B1_source_precedence": q(f"""SELECT loc AS location, d AS sale_date, src AS _source_system, {VERSION}
  FROM bac GROUP BY ALL"""),
     "B2_item_catalog": q("SELECT * FROM cat"),
@@ -661,6 +668,8 @@ TWINS: dict[str, str] = {
  {dbl('sum(net_sales)')} AS net_sales FROM st GROUP BY 1, 2"""),
     "I3_delete_insert": q(f"""SELECT source_system, order_id, date_key,
  {dbl("CASE WHEN sale_date >= DATE '2001-01-01' THEN 0 ELSE fo.order_net_sales END")} AS order_net_sales FROM fo"""),
+    "I3_refresh_months": q(f"""SELECT mon AS sale_month, source_system, {big(CNT)} AS orders, {dbl(ORD)} AS net_sales
+ FROM fo GROUP BY 1, 2"""),
     "I4_lookback": q(f"""SELECT sale_date, {big('count(*)')} AS lines FROM st WHERE sale_date >
  (SELECT max(sale_date) - 35 FROM st WHERE sale_date < DATE '2001-03-01') GROUP BY 1"""),
     "I5_file_stream": q(f"""SELECT store_name, _source_system, {big('count(*)')} AS lines, {dbl('sum(net_sales)')} AS net_sales

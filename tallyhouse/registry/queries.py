@@ -217,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "A22_since": A.since_day,
     "A23_publish": A.published,
     "A24_bronze_b": A.bronze_b_rows,
+    "A24_files_to_gold": A.files_to_gold,
     # silver
     "B1_source_precedence": A.precedence,
     "B2_item_catalog": lambda w: w.item_catalog,
@@ -363,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "I1_load_watermark": A.watermark_rows,
     "I2_partition_replace": A.upserted_slices,
     "I3_delete_insert": A.delete_insert,
+    "I3_refresh_months": A.refreshed_fact,
     "I4_lookback": A.lookback_rows,
     "I5_file_stream": A.streamed_files,
     "I6_late_arrivals": A.late_arrivals,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,30 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
     return target.join(gone, keys, "left_anti").unionByName(batch)
 
 
+def refresh_months(
+    silver: DataFrame,
+    new: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    target: Table,
+    month: str = "sale_month",
+) -> None:
+    """Rebuild the months of a fact that a batch touches, from the silver table.
+
+    ``new`` names the months (its ``month`` column); ``build`` makes the fact from
+    silver rows and sees those months only. A month that lost all its rows goes too,
+    which a keyed delete and insert would miss.
+    """
+    months = settle(new.select(month).distinct())
+    fresh = settle(build(silver.join(months, month, "left_semi")))
+    empty = []
+    if target.exists():
+        held = target.folders(F.lit(True)).join(months, month, "left_semi")
+        gone = held.join(fresh.select(month).distinct(), month, "left_anti")
+        empty = [r.folder for r in gone.select("folder").collect()]
+    target.replace_partitions(fresh)
+    target.drop_folders(empty)
+
+
 def late_arrivals(rows: DataFrame, days: int = 2) -> DataFrame:
     """Share of rows loaded more than ``days`` after their sale."""
     age = F.datediff(F.to_date("_ingested_at"), F.col("sale_date"))

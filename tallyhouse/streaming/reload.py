@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,18 @@ class Table:
         rows = self._stage(df).hint("rebalance", *self.partitions)
         rows.write.mode("overwrite").partitionBy(*self.partitions).parquet(self.path)
 
+    def folders(self, where: Column) -> DataFrame:
+        """Partition values and folder of the rows that hold for ``where``."""
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder")
+        return rows.filter(where).select(*self.partitions, folder).distinct()
+
+    def drop_folders(self, folders: list[str]) -> None:
+        """Delete partition folders; there are as many as partitions, not as rows."""
+        for path in folders:
+            place, fs = _file_system(self.spark, path)
+            fs.delete(place, True)
+
 
 def replace_slice(df: DataFrame, target: Table) -> None:
     """Replace the (store, date) slices of ``df``."""
@@ -121,18 +133,13 @@ def _swap_range(df, kept, inside, target, span, date_col, scope_col) -> None:
         near = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
         touched = touched.unionByName(kept.filter(near))
     by = list(target.partitions)
-    new = touched.select(*by).distinct()
-    rows = target.spark.read.schema(target.schema).parquet(target.path) if target.exists() else None
     empty = []
-    if rows is not None:
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder")
-        old = rows.filter(F.coalesce(inside, F.lit(False))).select(*by, folder).distinct()
-        # Folder names of one reload range: bounded by its days, not by its rows.
-        empty = [r.folder for r in old.join(new, by, "left_anti").select("folder").collect()]
+    if target.exists():
+        old = target.folders(F.coalesce(inside, F.lit(False)))
+        gone = old.join(touched.select(*by).distinct(), by, "left_anti")
+        empty = [r.folder for r in gone.select("folder").collect()]
     target.replace_partitions(touched, reads_target=shared)
-    for path in empty:
-        folder, fs = _file_system(target.spark, path)
-        fs.delete(folder, True)
+    target.drop_folders(empty)
 
 
 def _file_system(spark: SparkSession, path: str):

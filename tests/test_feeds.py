@@ -131,13 +131,14 @@ def test_orders_flatten(spark, tmp_path):
               "<Tax>0.80</Tax><IsClosed>True</IsClosed><EmployeeId>55</EmployeeId><DestinationId>3</DestinationId>")
         + order("2", entry("c"), '<Tax i:nil="true"/><Total>x</Total>')
         + order("3", "")))
-    land(tmp_path, "Las Vegas", "2026-05-28", payload(order("9", entry("z"))))
+    land(tmp_path, "A+B %Vegas", "2026-05-28", payload(order("9", entry("z"))))
     orders, entries = orders_xml.flatten_orders(spark, str(tmp_path))
     heads = {r.order_id: r for r in orders.collect()}
     assert sorted(heads) == ["1", "2", "3", "9"] and len(orders.columns) == 20
     assert heads["1"].tax == Decimal("0.80") and heads["1"].is_closed is True
     assert heads["2"].tax is None and heads["2"].total is None and heads["2"].is_voided is None
     assert heads["9"].business_date == dt.date(2026, 5, 28)
+    assert heads["9"].store_name == "A+B %Vegas"
     lines = {r.entry_id: r for r in entries.collect()}
     assert sorted(lines) == ["a", "b", "c", "z"]
     assert lines["b"].net_sales is None and lines["b"].is_voided is True and lines["a"].is_voided is None

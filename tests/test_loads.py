@@ -125,6 +125,20 @@ def test_delete_insert_keeps_batch_duplicates(spark):
     assert sorted(map(tuple, got.collect())) == [("1", 9), ("1", 9), ("2", 1), ("3", 9)]
 
 
+def test_refreshed_months_lose_what_silver_lost(spark, tmp_path):
+    cols = "sale_month date, order_ref string, v int"
+    jan, feb, mar = dt.date(2026, 1, 1), dt.date(2026, 2, 1), dt.date(2026, 3, 1)
+    silver = spark.createDataFrame([(jan, "1", 1), (jan, "1", 1), (feb, "2", 1), (mar, "3", 1)], cols)
+    build = lambda s: s.groupBy("sale_month", "order_ref").agg(F.sum("v").cast("int").alias("v"))
+    t = table(spark, tmp_path, silver, "sale_month")
+    incremental.refresh_months(silver, silver, build, t)
+    assert rows(t) == [(jan, "1", 2), (feb, "2", 1), (mar, "3", 1)]
+    later = spark.createDataFrame([(jan, "9", 5), (mar, "3", 7)], cols)  # order 1 and February vanished
+    touched = spark.createDataFrame([(jan,), (feb,)], "sale_month date")
+    incremental.refresh_months(later, touched, build, t)
+    assert rows(t) == [(jan, "9", 5), (mar, "3", 1)]
+
+
 def test_late_arrivals(spark):
     held = spark.createDataFrame([("a", dt.date(2026, 2, 1), "1", 1, "x", at(n)) for n in (1, 3, 4, 9)], STG)
     got = incremental.late_arrivals(held).head()
