@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,11 @@ def build_session(app: str = "tallyhouse", cpus: int | None = None) -> SparkSess
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tallyhouse-")
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint folder.
 
@@ -39,9 +45,7 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    return _local_root()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
