@@ -49,7 +49,7 @@ class Warehouse:
         """
         path = f"{self.root}/lines"
         df = tables.sale_lines(self.spark, self.sf_dir)
-        df.write.partitionBy("feed").parquet(path)
+        df.write.mode("overwrite").partitionBy("feed").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property

@@ -8,7 +8,7 @@ from tallyhouse.session import fresh_dir
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    """Write once and read back with the same columns and types.
+    """Write and read back with the same columns and types; a retry starts afresh.
 
     Partitioned tables are rebalanced on the partition column: adaptive
     execution splits a month that holds too much and merges the small ones, so
@@ -17,7 +17,7 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataF
     writer = df.hint("rebalance", partition).write if partition else df.write
     if partition:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    writer.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.session import fresh_dir
+from tallyhouse.storage import settle
 
 
 @dataclass(frozen=True)
@@ -104,8 +105,10 @@ def reload_range(
     must be partitioned by ``date_col`` alone or by scope and date. Days in the
     range that the load does not cover become empty in the same step: their
     surviving rows (other scopes) are restaged, and a day without any survivor is
-    dropped by its partition. Returns the number of loaded rows.
+    dropped by its partition. The batch is settled first: its files are parsed once,
+    and every step sees the same rows. Returns the number of loaded rows.
     """
+    df = settle(df)
     span = df.agg(
         F.min(date_col).alias("lo"), F.max(date_col).alias("hi"), F.count("*").alias("n")
     ).head()
