@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import parsing
-from tallyhouse.streaming import file_stream, incremental, manifest, reload
+from tallyhouse.streaming import file_stream, incremental, loads, manifest, reload
 
 COLS = "store string, day date, v int"
 
@@ -180,3 +180,30 @@ def test_file_stream_takes_only_new_files(spark, tmp_path):
     spark.createDataFrame([("a", d(1), 5), ("c", d(2), 1)], first.schema).write.mode("append").parquet(source)
     file_stream.ingest_available(file_stream.stream_files(spark, source, first.schema), t, checkpoint)
     assert rows(t) == [("a", d(1), 5), ("b", d(1), 1), ("c", d(2), 1)]
+
+
+def test_new_files_load_once(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+
+    def put(name, *lines):
+        (folder / name).write_text("\n".join(["store,day,v", *lines]) + "\n")
+
+    put("DDBB_Jan_26.csv", "a,2026-01-01,1", "a,2026-01-02,1")
+    put("DDBB_Feb_26.csv", "a,2026-02-01,1")
+    put("DDBB_Zero.csv")
+    target = reload.Table(spark, str(tmp_path / "t"), spark.createDataFrame([], COLS).schema, ("day",))
+    known = loads.manifest_table(spark, str(tmp_path / "manifest"))
+
+    def run(full_refresh=False):
+        files = manifest.list_files(spark, f"{folder}/*DDBB_*.csv", parsing.FEED_A_FILE, "feed_a")
+        read = lambda n: spark.read.schema(COLS).option("header", True).csv(f"{folder}/{n}")
+        return loads.load_new_files("feed_a", files, read, target, known, "day", loaded_at=at(1),
+                                    full_refresh=full_refresh)
+
+    assert run() == 3 and run() == 0
+    assert {r.filename: r.row_count for r in known.read().collect()} == {"DDBB_Jan_26.csv": 2, "DDBB_Feb_26.csv": 1}
+    put("DDBB_Mar_26.csv", "a,2026-01-02,7", "a,2026-03-01,7")
+    assert run() == 2
+    assert rows(target) == [("a", dt.date(2026, 1, 1), 1), ("a", dt.date(2026, 1, 2), 7), ("a", dt.date(2026, 3, 1), 7)]
+    assert run(full_refresh=True) == 5 and known.read().count() == 3
