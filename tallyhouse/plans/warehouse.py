@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.measures import month_start
 from tallyhouse.operators import bronze, dimensions, facts, silver
+from tallyhouse.plans.studies import food_fact
 from tallyhouse.session import fresh_dir
 from tallyhouse.settings import Settings
 from tallyhouse.sources import feeds, orders_xml, tables
@@ -64,6 +65,20 @@ class Warehouse:
     def raw_c(self) -> DataFrame:
         return tables.raw_feed_c(self.lines, self.settings)
 
+    @cached_property
+    def text_a(self) -> DataFrame:
+        """Feed A as its file spells it, for the studies."""
+        return tables.feed_a_text(self.lines, self.settings)
+
+    @cached_property
+    def text_b(self) -> DataFrame:
+        return tables.feed_b_text(self.lines, self.settings)
+
+    @cached_property
+    def food(self) -> DataFrame:
+        """Classified dessert lines, written because five reports read them."""
+        return self._keep("food", lambda: food_fact(self.text_a, self.text_b))
+
     @cached_property
     def store_days(self) -> DataFrame:
         return self._keep("store_days", lambda: bronze.store_days(self.raw_a))
@@ -233,6 +248,14 @@ class FeedWarehouse(Warehouse):
 
         return self._keep("raw_c", build)
 
+    @cached_property
+    def text_a(self) -> DataFrame:
+        return feeds.read_feed_a_text(self.spark, f"{self.feed_a}/{feeds.FEED_A_GLOB}")
+
+    @cached_property
+    def text_b(self) -> DataFrame:
+        return feeds.read_feed_b_text(self.spark, f"{self.feed_b}/{feeds.FEED_B_GLOB}")
+
     @cached_property
     def campaign_seed(self) -> DataFrame:
         return feeds.load_seed(self.spark, self.seed)

@@ -38,13 +38,13 @@ class Landed:
     @property
     def a(self) -> str:
         return self._once(
-            "a", lambda d: landing.land_feed_a(tables.feed_a_text(self.w.lines, self.w.settings), d)
+            "a", lambda d: landing.land_feed_a(self.w.text_a, d)
         )
 
     @property
     def b(self) -> str:
         return self._once(
-            "b", lambda d: landing.land_feed_b(tables.feed_b_text(self.w.lines, self.w.settings), d)
+            "b", lambda d: landing.land_feed_b(self.w.text_b, d)
         )
 
     @property
@@ -105,19 +105,19 @@ def feed_b_scan(w: Warehouse) -> DataFrame:
 
 
 def mixed_dates(w: Warehouse) -> DataFrame:
-    text = tables.feed_a_text(w.lines, w.settings)
+    text = w.text_a
     parsed = P.parse_mixed_ts("Closed Date/Time")
     rows = text.groupBy(F.to_date(parsed).alias("day"), F.hour(parsed).alias("hour"))
     return rows.agg(F.count("*").alias("lines"))
 
 
 def feed_b_dates(w: Warehouse) -> DataFrame:
-    text = tables.feed_b_text(w.lines, w.settings)
+    text = w.text_b
     return text.groupBy(P.parse_feed_b_date("Date").alias("day")).agg(F.count("*").alias("lines"))
 
 
 def _money_by_file(w: Warehouse, value: Column) -> DataFrame:
-    text = tables.feed_a_text(w.lines, w.settings)
+    text = w.text_a
     return text.groupBy("file").agg(
         F.sum(value).alias("net_sales"), F.count_if(value.isNull()).alias("unreadable")
     )
@@ -139,7 +139,7 @@ def lineage(w: Warehouse) -> DataFrame:
 
 
 def stores_from_files(w: Warehouse) -> DataFrame:
-    text = tables.feed_b_text(w.lines, w.settings)
+    text = w.text_b
     files = text.groupBy("file").agg(F.count("*").alias("lines"))
     return files.withColumn("store", P.store_from_filename("file", w.settings.brand))
 

@@ -27,37 +27,29 @@ MONTHS = D.months_between(dt.date(1995, 1, 1), dt.date(2001, 7, 1))
 START = dt.date(1999, 1, 1)
 
 
-def _text_a(w: Warehouse) -> DataFrame:
-    return tables.feed_a_text(w.lines, w.settings)
-
-
-def _food(w: Warehouse) -> DataFrame:
-    return S.food_fact(_text_a(w), tables.feed_b_text(w.lines, w.settings))
-
-
 def _channel(w: Warehouse) -> DataFrame:
-    return S.channel_lines(_text_a(w), "NATION_1")
+    return S.channel_lines(w.text_a, "NATION_1")
 
 
 def _hours(w: Warehouse) -> DataFrame:
-    return S.hourly_lines(_text_a(w), "%NATION_2%")
+    return S.hourly_lines(w.text_a, "%NATION_2%")
 
 
 def _item(w: Warehouse) -> DataFrame:
     return S.item_lines(
-        _text_a(w), "%NATION%", "red velvet CAKE", dt.date(1997, 3, 15), dt.date(2001, 3, 1)
+        w.text_a, "%NATION%", "red velvet CAKE", dt.date(1997, 3, 15), dt.date(2001, 3, 1)
     )
 
 
 def _named_items(w: Warehouse, named) -> DataFrame:
-    text = _text_a(w).select(F.col("Item Name").alias("item_name"))
+    text = w.text_a.select(F.col("Item Name").alias("item_name"))
     return text.groupBy("item_name").agg(F.count("*").alias("lines")).withColumn(
         "product", named("item_name")
     )
 
 
 def _item_names_b(w: Warehouse, named) -> DataFrame:
-    text = tables.feed_b_text(w.lines, w.settings).select(F.col("Item").alias("item_name"))
+    text = w.text_b.select(F.col("Item").alias("item_name"))
     return text.groupBy("item_name").agg(F.count("*").alias("lines")).withColumn(
         "product", named("item_name")
     )
@@ -342,12 +334,12 @@ QUERIES: dict[str, Query] = {
     # studies
     "P1_classify_keyword": lambda w: _named_items(w, S.classify_by_keyword),
     "P2_classify_exact": lambda w: _item_names_b(w, S.classify_by_name),
-    "P3_food_fact": _food,
-    "P4_food_pivot_sales": lambda w: S.food_pivot(_food(w), "net_sales"),
-    "P4_food_pivot_units": lambda w: S.food_pivot(_food(w), "units"),
-    "P4_food_by_month_store": lambda w: S.food_by_month_store(_food(w)),
-    "P4_food_by_store": lambda w: S.food_by_store(_food(w)),
-    "P4_food_totals": lambda w: S.food_totals(_food(w)),
+    "P3_food_fact": lambda w: w.food,
+    "P4_food_pivot_sales": lambda w: S.food_pivot(w.food, "net_sales"),
+    "P4_food_pivot_units": lambda w: S.food_pivot(w.food, "units"),
+    "P4_food_by_month_store": lambda w: S.food_by_month_store(w.food),
+    "P4_food_by_store": lambda w: S.food_by_store(w.food),
+    "P4_food_totals": lambda w: S.food_totals(w.food),
     "P5_channel_daily": lambda w: S.channel_daily(_channel(w)),
     "P6_channel_weekly": lambda w: S.channel_weekly(_channel(w)),
     "P6_channel_checks": lambda w: S.channel_checks(_channel(w)),
