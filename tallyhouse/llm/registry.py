@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import near_dedup, quality
+from tallyhouse.llm import decontam, near_dedup, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -24,6 +28,7 @@ def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_divergence": op2_quality_divergence,
+    "op3_fm_index_decontamination": op3_fm_index_decontamination,
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
 }
 
