@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import near_dedup, quality
+from tallyhouse.llm import decontam, near_dedup, quality
 from tallyhouse.storage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,9 +22,15 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.deduplicate(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passages beyond the contamination rule."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("minhash_near_dedup", dedup_stage),
+    ("benchmark_decontamination", decontamination_stage),
 ]
 
 #: Several stages (tokenizer, coder, mixing) have no SQL form; tests hold the run against plain code.
