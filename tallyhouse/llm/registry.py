@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, near_dedup, quality
+from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,15 +21,31 @@ def op3_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_context_mixing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_ids(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_divergence": op2_quality_divergence,
     "op3_fm_index_decontamination": op3_fm_index_decontamination,
+    "op4_context_mixing_ids": op4_context_mixing_ids,
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
+    "op8_temperature_mixing": op8_temperature_mixing,
 }
 
 
