@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, near_dedup, quality
+from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files
+from tallyhouse.llm.registry import tokenizer_path
 from tallyhouse.storage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,10 +28,22 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, and documents of small sources again, to the temperature weights."""
+    return mixing.realised(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-id files of the mix; returns what they hold of each document."""
+    return token_files.token_ids(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("minhash_near_dedup", dedup_stage),
     ("benchmark_decontamination", decontamination_stage),
+    ("source_mixing", mixing_stage),
+    ("token_ids", token_stage),
 ]
 
 #: Several stages (tokenizer, coder, mixing) have no SQL form; tests hold the run against plain code.
