@@ -15,7 +15,7 @@ def open_output(uri: str):
     """A new file, its folder made if missing."""
     system, path = _open(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

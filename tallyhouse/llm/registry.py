@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files
+from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_normaliser": op1_warc_normaliser,
     "op2_quality_divergence": op2_quality_divergence,
     "op3_fm_index_decontamination": op3_fm_index_decontamination,
     "op4_context_mixing_ids": op4_context_mixing_ids,
@@ -50,4 +55,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 #: DuckDB forms of the queries that SQL can express.
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op1_warc_normaliser": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+        b AS (
+            SELECT *, list_transform(range(8), lambda g: ('0x' || substr(hex, 5 * g + 1, 5))::INTEGER) AS fives,
+                max(page_id) OVER (PARTITION BY hex) AS response
+            FROM d
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+            list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((fives[1 + i // 4] >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), 'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> response THEN response END AS refers_to
+        FROM b
+    """,
+}
