@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files, warc
+from tallyhouse.llm import decontam, html_extract, mixing, near_dedup, quality, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fm_index_decontamination": op3_fm_index_decontamination,
     "op4_context_mixing_ids": op4_context_mixing_ids,
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
+    "op6_wrapper_induction": op6_wrapper_induction,
     "op8_temperature_mixing": op8_temperature_mixing,
 }
 

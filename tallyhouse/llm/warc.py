@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import files
+from tallyhouse.llm.textscan import chunks_of
 from tallyhouse.session import fresh_dir
 from tallyhouse.storage import settle
 
@@ -91,7 +92,7 @@ def _write(folder: str):
             done["path"].append(path)
             done["n_records"].append(count)
 
-        for batch in batches:
+        for batch in chunks_of(batches, "html", 8 * PIECE):
             for page_id, url, html, response in zip(*[c.to_pylist() for c in batch.columns]):
                 if out is None:
                     path, held, count = f"{folder}/mono-{uuid.uuid4().hex}.warc.gz", 0, 0
