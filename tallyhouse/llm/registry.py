@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, html_extract, mixing, near_dedup, quality, token_files, warc
+from tallyhouse.llm import decontam, html_extract, mixing, near_dedup, quality, secrets, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_of(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_quality_divergence": op2_quality_divergence,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
     "op6_wrapper_induction": op6_wrapper_induction,
     "op8_temperature_mixing": op8_temperature_mixing,
+    "op10_secret_crf": op10_secret_crf,
 }
 
 
