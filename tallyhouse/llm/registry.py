@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontam, html_extract, mixing, near_dedup, quality, secrets, token_files, warc
+from tallyhouse.llm import chat, decontam, html_extract, mixing, near_dedup, quality, secrets, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op9_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(_table(spark, sf_dir, "conversations"))
+
+
 def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_of(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
     "op6_wrapper_induction": op6_wrapper_induction,
     "op8_temperature_mixing": op8_temperature_mixing,
+    "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_secret_crf": op10_secret_crf,
 }
 
@@ -81,4 +86,19 @@ TWINS: dict[str, str] = {
             CASE WHEN page_id <> response THEN response END AS refers_to
         FROM b
     """,
+    "op9_snapshot_collapse": """
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        c AS (SELECT conv_id, list(role || chr(31) || text ORDER BY turn) AS said FROM t GROUP BY conv_id),
+        kept AS (
+            SELECT conv_id FROM c WHERE NOT EXISTS (
+                SELECT 1 FROM c AS d
+                WHERE (len(d.said) > len(c.said) AND d.said[1:len(c.said)] = c.said)
+                   OR (d.said = c.said AND d.conv_id < c.conv_id)
+            )
+        )
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place,
+            count(*) OVER (PARTITION BY conv_id) AS n_turns, role,
+            '<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10) AS rendered
+        FROM t WHERE conv_id IN (SELECT conv_id FROM kept)
+    """,
 }
