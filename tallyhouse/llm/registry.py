@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontam, html_extract, mixing, near_dedup, quality, secrets, token_files, warc
+from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secrets, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op6_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op7_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_context_mixing_ids": op4_context_mixing_ids,
     "op5_bottom_k_near_dedup": op5_bottom_k_near_dedup,
     "op6_wrapper_induction": op6_wrapper_induction,
+    "op7_deletion_neighbourhood": op7_deletion_neighbourhood,
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_secret_crf": op10_secret_crf,
