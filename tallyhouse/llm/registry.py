@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secrets, token_files, warc
+from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,9 @@ def op1_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(_table(spark, sf_dir, "documents"))
+    found = quality.quality_rules(_table(spark, sf_dir, "documents"))
+    # shown to six digits, as sums of doubles differ in their last ones
+    return found.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op3_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +60,7 @@ def op9_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets_of(_table(spark, sf_dir, "documents"))
+    return secret_scan.secrets_of(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -74,6 +77,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _common_words() -> str:
+    lists = " ".join(f"WHEN '{lang}' THEN {list(words)!r}" for lang, words in quality.COMMON_WORDS.items())
+    return f"CASE lang {lists} ELSE []::VARCHAR[] END"
+
+
+def _distance(p: str, q: str) -> str:
+    """Square root of the Jensen-Shannon divergence of two lists of shares."""
+    term = lambda v: f"CASE WHEN {v} > 0 THEN {v} * log2(2 * {v} / (z[1] + z[2])) ELSE 0 END"
+    return f"sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z: {term('z[1]')} + {term('z[2]')})) / 2, 0))"
+
+
+#: The words of one text under the spaced rule (case folded) and under the benchmark rule.
+_SPACED = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 #: DuckDB forms of the queries that SQL can express.
 TWINS: dict[str, str] = {
     "op1_warc_normaliser": """
@@ -106,4 +124,101 @@ TWINS: dict[str, str] = {
             '<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10) AS rendered
         FROM t WHERE conv_id IN (SELECT conv_id FROM kept)
     """,
+    "op2_quality_divergence": rf"""
+        WITH w AS (
+            SELECT row_number() OVER () AS row, doc_id, lang IN {tuple(quality.COMMON_WORDS)} AS listed, lang, coalesce(text, '') AS text,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+                {_common_words()} AS common
+            FROM documents
+        ),
+        g AS (
+            SELECT row, i, count(*) OVER (PARTITION BY row, words[i], words[i + 1], words[i + 2]) AS n
+            FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+        ),
+        r AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY row),
+        c AS (
+            SELECT w.row, doc_id, CASE WHEN listed THEN lang ELSE '' END AS lang, len(words) AS n_words,
+                length(list_aggregate(words, 'string_agg', '')) AS chars, coalesce(r.n, 0) AS n_repeat_words,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+                length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digit,
+                length(regexp_replace(text, '[\x00-\x7F]', '', 'g')) AS n_wide,
+                length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower,
+                length(text) AS n_chars,
+                list_transform(words, lambda x: list_position(common, rtrim(lower(x), '.,;:!?'))) AS places
+            FROM w LEFT JOIN r ON r.row = w.row
+        ),
+        h AS (
+            SELECT *, coalesce(chars, 0) AS word_chars, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                [n_lower, n_upper, n_digit, n_chars - coalesce(chars, 0), n_symbols,
+                 coalesce(chars, 0) - n_lower - n_upper - n_digit - n_symbols - n_wide, n_wide] AS classes,
+                list_append(list_transform(range(1, {quality.N_COMMON} + 1), lambda k: len(list_filter(places, lambda p: p = k))),
+                    n_words - len(list_filter(places, lambda p: p > 0))) AS kinds
+            FROM c
+        ),
+        q AS (
+            SELECT lang, count(*) AS n,
+                [{", ".join(f"sum(floor(classes[{i}] * {quality.SCALE}::DOUBLE / list_sum(classes)))" for i in range(1, len(quality.CLASSES) + 1))}] AS classes,
+                [{", ".join(f"sum(floor(kinds[{i}] * {quality.SCALE}::DOUBLE / list_sum(kinds)))" for i in range(1, quality.N_COMMON + 2))}] AS kinds
+            FROM h WHERE NOT base_failed GROUP BY lang
+        ),
+        d AS (
+            SELECT h.*,
+                CASE WHEN n_words >= {quality.MIN_WORDS} AND q.n >= {quality.MIN_REFERENCE} THEN {_distance(
+                    "list_transform(h.classes, lambda x: x / list_sum(h.classes))", "list_transform(q.classes, lambda x: x / list_sum(q.classes))"
+                )} END AS far_classes,
+                CASE WHEN n_words >= {quality.MIN_WORDS_FOR_WORDS} AND q.n >= {quality.MIN_REFERENCE} AND h.lang <> '' THEN {_distance(
+                    "list_transform(h.kinds, lambda x: x / list_sum(h.kinds))", "list_transform(q.kinds, lambda x: x / list_sum(q.kinds))"
+                )} END AS far_words
+            FROM h LEFT JOIN q ON q.lang = h.lang
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            round(far_classes, 6) AS class_distance, round(far_words, 6) AS word_distance,
+            NOT base_failed AND coalesce(far_classes, 0) <= {quality.MAX_CLASS_DISTANCE} AND coalesce(far_words, 0) <= {quality.MAX_WORD_DISTANCE} AS kept
+        FROM d
+    """,
+    "op3_fm_index_decontamination": rf"""
+        WITH i AS (SELECT item_id, {_ALNUM} AS words FROM benchmark),
+        p AS (
+            SELECT DISTINCT item_id, words[k : k + {decontam.WINDOW - 1}] AS phrase
+            FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - {decontam.WINDOW - 2}, 2))) AS k FROM i WHERE len(words) > 0)
+        ),
+        d AS (SELECT row_number() OVER () AS row, doc_id, {_ALNUM} AS words FROM documents),
+        s AS (SELECT DISTINCT len(phrase) AS size FROM p),
+        o AS (
+            SELECT w.row, w.k, p.item_id, len(p.phrase) AS size
+            FROM (SELECT row, unnest(range(1, len(words) - size + 2)) AS k, size, words FROM d, s WHERE len(words) >= size) AS w
+            JOIN p ON w.words[w.k : w.k + w.size - 1] = p.phrase
+        ),
+        hit AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(k, k + size)) AS place FROM o) GROUP BY row),
+        told AS (
+            SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM o WHERE item_id IS NOT NULL) GROUP BY row
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(told.n, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * hit.n >= len(words) AS contaminated
+        FROM d LEFT JOIN hit ON hit.row = d.row LEFT JOIN told ON told.row = d.row
+    """,
+    "op5_bottom_k_near_dedup": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_SPACED} AS words FROM documents),
+        sets AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [words]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: words[i : i + 4]) END) AS shingle
+            FROM w
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+        ),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+        FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id JOIN least ON least.a = w.doc_id
+    """,
 }
