@@ -18,10 +18,18 @@ def with_member_zero(df: DataFrame, name_col: str, values: list) -> DataFrame:
     return named.unionByName(zero)
 
 
-def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+def calendar_bounds(sales: DataFrame, years_ahead: int) -> tuple[dt.date | None, dt.date | None]:
+    """First day of the first sale's year, last day of the year that is ``years_ahead`` after the last's."""
+    first, last = sales.agg(F.min("sale_date"), F.max("sale_date")).first()
+    if first is None:
+        return None, None
+    return dt.date(first.year, 1, 1), dt.date(last.year + years_ahead, 12, 31)
+
+
+def dim_date(spark: SparkSession, start: dt.date | None, end: dt.date | None) -> DataFrame:
     """One row per day; the number of rows is bounded by the two dates."""
     days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("date")
+        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))).alias("date")
     )
     iso_day = F.weekday("date") + 1
     return days.select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.measures import month_start, ratio, rounded, share_of_rows
 from tallyhouse.plans import marts
-from tallyhouse.plans.warehouse import MONTH, Warehouse, day_key
+from tallyhouse.plans.warehouse import MONTH, Warehouse, day_key, written_months
 from tallyhouse.settings import UNKNOWN
 
 ALL_STORES = "All Stores"
@@ -36,8 +36,9 @@ def order_sum() -> Column:
 
 
 def latest_month(fact: DataFrame) -> Column:
-    """Last month present, as a scalar over the partition column."""
-    return fact.select(F.max(MONTH)).scalar()
+    """Last month present, from the folder names: the scan then opens that partition only."""
+    months = written_months(fact)
+    return F.lit(months[-1] if months else None).cast("date")
 
 
 def in_latest_month(fact: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def kpi_current_month(w: Warehouse) -> DataFrame:
 
 
 def kpi_ytd(w: Warehouse) -> DataFrame:
-    return year_to_date(w.fact_order, w.settings.as_of).agg(
+    return year_to_date(w.fact_order, w.as_of).agg(
         sales("net_sales_ytd"), orders("order_count_ytd"), ticket("avg_ticket_ytd")
     )
 
@@ -111,7 +112,7 @@ def kpi_items_current_month(w: Warehouse) -> DataFrame:
 
 
 def kpi_items_ytd(w: Warehouse) -> DataFrame:
-    ytd = year_to_date(w.fact_sale_item, w.settings.as_of)
+    ytd = year_to_date(w.fact_sale_item, w.as_of)
     return ytd.agg(F.sum("qty").alias("items_sold_ytd"))
 
 
@@ -162,8 +163,9 @@ def store_leaderboard_mom(w: Warehouse) -> DataFrame:
     )
 
 
-def store_month_matrix(w: Warehouse, months: list[str]) -> DataFrame:
-    """Store by month matrix; the given months are the columns, absent cells NULL."""
+def store_month_matrix(w: Warehouse) -> DataFrame:
+    """Store by month matrix; the months that exist are the columns, absent cells NULL."""
+    months = [f"{m:%Y-%m}" for m in written_months(w.fact_order)]
     cells = w.fact_order.groupBy("store_key", MONTH).agg(sales())
     labelled = store_names(cells, w).select("store_name", month_label(), "net_sales")
     return labelled.groupBy("store_name").pivot("year_month", months).sum("net_sales").orderBy(
@@ -171,12 +173,6 @@ def store_month_matrix(w: Warehouse, months: list[str]) -> DataFrame:
     )
 
 
-def months_between(first: dt.date, last: dt.date) -> list[str]:
-    count = (last.year - first.year) * 12 + last.month - first.month + 1
-    base = first.year * 12 + first.month - 1
-    return [f"{(base + i) // 12:04d}-{(base + i) % 12 + 1:02d}" for i in range(count)]
-
-
 def store_month_options(w: Warehouse) -> DataFrame:
     return w.dim_store.select("store_name").orderBy("store_name")
 
@@ -509,7 +505,7 @@ def store_kpis(w: Warehouse, store: str) -> DataFrame:
 
 def store_kpi_ytd(w: Warehouse, store: str) -> DataFrame:
     """The whole year of the reporting date, without an upper day."""
-    year = w.settings.as_of.year
+    year = w.as_of.year
     fact = between_days(w.fact_order, dt.date(year, 1, 1), dt.date(year, 12, 31))
     return one_store(fact, w, store).agg(sales("net_sales_ytd"))
 
@@ -521,7 +517,7 @@ def store_net_sales_history(w: Warehouse, store: str) -> DataFrame:
 
 def dow_heatmap(w: Warehouse, store: str) -> DataFrame:
     """Mean day per weekday and month over the year before the reporting date."""
-    as_of = w.settings.as_of
+    as_of = w.as_of
     leap_day = as_of.month == 2 and as_of.day == 29
     first = as_of.replace(year=as_of.year - 1, day=28 if leap_day else as_of.day)
     recent = w.fact_order.filter(
@@ -734,5 +730,5 @@ def data_watermark(w: Warehouse) -> DataFrame:
     return ends.select(
         last.alias("latest_sale_date"),
         first.alias("earliest_sale_date"),
-        F.datediff(F.lit(w.settings.as_of), last).alias("days_since_last_data"),
+        F.datediff(F.lit(w.as_of), last).alias("days_since_last_data"),
     )

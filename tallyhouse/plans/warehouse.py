@@ -8,6 +8,7 @@ a lost executor only costs the tasks it was running.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 from functools import cached_property
 
@@ -25,6 +26,12 @@ from tallyhouse.storage import write_table
 MONTH = "sale_month"
 
 
+def written_months(table: DataFrame) -> list[dt.date]:
+    """Months of a table written by month, from its folder names; no file is opened."""
+    found = {m for f in table.inputFiles() for m in re.findall(rf"/{MONTH}=(\d+-\d+-\d+)/", f)}
+    return sorted(map(dt.date.fromisoformat, found))
+
+
 class Warehouse:
     """Tables of one data folder; every attribute is a DataFrame."""
 
@@ -113,11 +120,17 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        s = self.settings
-        end = s.as_of.replace(year=s.as_of.year + s.calendar_years_ahead)
-        return self._keep(
-            "dim_date", lambda: dimensions.dim_date(self.spark, s.calendar_start, end).coalesce(1)
-        )
+        """Whole years from the first sale to some years after the last one: no sale falls outside."""
+        first, last = dimensions.calendar_bounds(self.stg_orders, self.settings.calendar_years_ahead)
+        return self._keep("dim_date", lambda: dimensions.dim_date(self.spark, first, last).coalesce(1))
+
+    @cached_property
+    def as_of(self) -> dt.date | None:
+        """The reporting date of the settings, else the last sale date."""
+        if self.settings.as_of:
+            return self.settings.as_of
+        last = written_months(self.stg_orders)[-1:]
+        return self.stg_orders.filter(F.col(MONTH).isin(last)).agg(F.max("sale_date")).first()[0]
 
     @cached_property
     def dim_store(self) -> DataFrame:

@@ -2,8 +2,54 @@
 
 from __future__ import annotations
 
-from tallyhouse.functions.classify import EXACT_NAMES, PRODUCTS
-from tallyhouse.registry.queries import MONTHS
+#: Fixed values of the studies, stated here again so that the twins share nothing with what they judge.
+PRODUCTS = (
+    "Cake Red Velvet",
+    "Cake Chocolate Temptation",
+    "Cheesecake Pistachio",
+    "Macarons French",
+    "Cake Carrot",
+    "Cake Cappuccino",
+    "Cheesecake Dulce de Leche",
+    "Cheesecake Strawberry",
+    "Tiramisu With Ladyfingers",
+    "Tiramisu",
+    "Cheesecake Chocolate Ganache",
+    "Cake Torta Nocciola",
+    "Tart Mixed Berry",
+    "Cake Ricotta and Pistachio",
+    "Cake Chocolate Fondant",
+    "Cake Tres Leches",
+    "Cake Red Velvet Mini Gluten Free",
+    "Cheesecake Brownie",
+)
+EXACT_NAMES = {
+    "torta nocciola": "Cake Torta Nocciola",
+    "red velvet cake": "Cake Red Velvet",
+    "mini gf red velvet cake": "Cake Red Velvet Mini Gluten Free",
+    "mini gluten-free red velvet": "Cake Red Velvet Mini Gluten Free",
+    "tres leches cake": "Cake Tres Leches",
+    "chocolate ganache cheesecake": "Cheesecake Chocolate Ganache",
+    "macarons french collection": "Macarons French",
+    "french macarons": "Macarons French",
+    "macaron": "Macarons French",
+    "strawberry cheesecake": "Cheesecake Strawberry",
+    "tiramisu individual": "Tiramisu",
+    "tiramisu big ladyfinger": "Tiramisu With Ladyfingers",
+    "tiramisu with ladyfingers": "Tiramisu With Ladyfingers",
+    "mixed berry tart": "Tart Mixed Berry",
+    "chocolate temptation cake": "Cake Chocolate Temptation",
+    "cheesecake pistachio": "Cheesecake Pistachio",
+    "pistachio cheesecake": "Cheesecake Pistachio",
+    "cappuccino cake": "Cake Cappuccino",
+    "carrot cake": "Cake Carrot",
+    "dulce de leche cheesecake": "Cheesecake Dulce de Leche",
+    "chocolate fondant cake": "Cake Chocolate Fondant",
+    "cheesecake brownie": "Cheesecake Brownie",
+    "brownie cheesecake": "Cheesecake Brownie",
+    "ricotta & pistachio cake": "Cake Ricotta and Pistachio",
+    "ricotta and pistachio cake": "Cake Ricotta and Pistachio",
+}
 
 
 def rdiv(num: str, den: str, places: int) -> str:
@@ -74,8 +120,7 @@ ln AS (
   CASE WHEN o_orderkey % 2 = 1 THEN 'feed_b' WHEN o_orderkey % 10 = 4 THEN 'feed_c' ELSE 'feed_a' END AS feed
  FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
   JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey
-  JOIN supplier ON s_suppkey = l_suppkey
- WHERE o_orderdate < TIMESTAMP '2001-08-01'),
+  JOIN supplier ON s_suppkey = l_suppkey),
 lx AS (
  SELECT *, CAST(d + CAST(ok % 5 AS INTEGER) AS TIMESTAMP) + INTERVAL 8 HOUR AS ing,
   CAST(d AS TIMESTAMP) + INTERVAL 1 MINUTE * CAST((ok * 37) % 1440 AS INTEGER) AS closed,
@@ -132,7 +177,7 @@ dd AS (SELECT CAST(strftime(x, '%Y%m%d') AS INTEGER) AS date_key, CAST(x AS DATE
   CAST(isodow(x) AS INTEGER) AS day_of_week, dayname(x) AS day_name, CAST(week(x) AS INTEGER) AS week_number,
   CAST(month(x) AS INTEGER) AS month, monthname(x) AS month_name, CAST(quarter(x) AS INTEGER) AS quarter,
   CAST(year(x) AS INTEGER) AS year, isodow(x) > 5 AS is_weekend
- FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2004-07-31', INTERVAL 1 DAY)) AS x)),
+ FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(sale_date)) AS TIMESTAMP), CAST(make_date(CAST(year(max(sale_date)) + 3 AS INTEGER), 12, 31) AS TIMESTAMP), INTERVAL 1 DAY)) AS x FROM st)),
 ds AS (SELECT {key('store_name')} AS store_key, store_name,
   CAST(CASE WHEN starts_with(store_name, 'MEIJER') THEN 0.04 WHEN store_name = 'LAS VEGAS' THEN 0.08
    ELSE 0.07 END AS DECIMAL(5,2)) AS royalty_rate, TRUE AS is_active FROM (SELECT DISTINCT store_name FROM st)),
@@ -505,9 +550,9 @@ TWINS: dict[str, str] = {
     "M4_freshness_data": q(f"SELECT source_name, filename, row_count, {ts('loaded_at')} AS loaded_at FROM mf"),
     "Q1_kpi_current_month": q(f"SELECT {SALES}, {TICKET} AS avg_ticket FROM fo WHERE mon = (SELECT m FROM lmo)"),
     "Q2_kpi_ytd": q(f"""SELECT {dbl(ORD)} AS net_sales_ytd, {big(CNT)} AS order_count_ytd, {TICKET} AS avg_ticket_ytd
- FROM fo WHERE year = 2001 AND sale_date <= DATE '2001-07-31'"""),
+ FROM fo WHERE year = (SELECT max(year) FROM fo)"""),
     "Q3_kpi_items_current_month": q(f"SELECT {dbl('sum(qty)')} AS items_sold FROM fi WHERE mon = (SELECT m FROM lmi)"),
-    "Q4_kpi_items_ytd": q(f"SELECT {dbl('sum(qty)')} AS items_sold_ytd FROM fi WHERE sale_date BETWEEN DATE '2001-01-01' AND DATE '2001-07-31'"),
+    "Q4_kpi_items_ytd": q(f"SELECT {dbl('sum(qty)')} AS items_sold_ytd FROM fi WHERE sale_date >= (SELECT date_trunc('year', max(sale_date)) FROM st)"),
     "Q5_daily_last_90": q(f"""SELECT sale_date AS date, {dbl(ORD)} AS net_sales FROM fo
  WHERE sale_date > (SELECT max(sale_date) - 90 FROM fo) GROUP BY 1"""),
     "Q6_net_sales_ytd_daily": q(f"""SELECT sale_date AS date, {dbl('n')} AS net_sales,
@@ -517,8 +562,8 @@ TWINS: dict[str, str] = {
  {dbl('p')} AS prev_month_sales, {rdiv('c - p', 'p', 4)} AS mom_growth_pct FROM (
  SELECT store_name, sum(order_net_sales) FILTER (mon = m) AS c, sum(order_net_sales) FILTER (mon <> m) AS p
  FROM fo, lmo WHERE mon >= m - INTERVAL 1 MONTH GROUP BY 1)"""),
-    "Q8_store_month_matrix": q("SELECT store_name, " + ", ".join(
-        f"""{dbl(f"sum(order_net_sales) FILTER (ym = '{m}')")} AS "{m}\"""" for m in MONTHS) + " FROM fo GROUP BY 1"),
+    "Q8_store_month_matrix": q(""" FROM (PIVOT (SELECT store_name, ym, order_net_sales FROM fo) ON ym
+ USING CAST(sum(order_net_sales) AS DOUBLE) GROUP BY store_name)"""),
     "Q9_store_month_options": q("SELECT store_name FROM ds ORDER BY 1"),
     "Q10_store_monthly_sales": q(f"""SELECT store_name, mon AS month, ym AS year_month, {dbl(ORD)} AS net_sales FROM fo
  WHERE store_name = 'LAS VEGAS' GROUP BY 1, 2, 3"""),
@@ -583,12 +628,12 @@ TWINS: dict[str, str] = {
  {rdiv('sum(order_count)', 'count(*)', 1)} AS orders_per_employee_day FROM fe WHERE {FE_NAMED} GROUP BY 1"""),
     "Q31_store_kpis": q(f"""SELECT {dbl(ORD)} AS net_sales_cm, {TICKET} AS avg_ticket_cm FROM fo
  WHERE mon = (SELECT m FROM lmo) AND store_name = 'LAS VEGAS'"""),
-    "Q32_store_kpi_ytd": q(f"SELECT {dbl(ORD)} AS net_sales_ytd FROM fo WHERE year = 2001 AND store_name = 'LAS VEGAS'"),
+    "Q32_store_kpi_ytd": q(f"SELECT {dbl(ORD)} AS net_sales_ytd FROM fo WHERE year = (SELECT max(year) FROM fo) AND store_name = 'LAS VEGAS'"),
     "Q33_store_net_sales_history": q(f"SELECT mon AS month, {SALES} FROM fo WHERE store_name = 'LAS VEGAS' GROUP BY 1"),
     "Q34_dow_heatmap": q(f"""SELECT day_name AS day_of_week, dow AS dow_num, month_name, month AS month_num, year,
  year || ' ' || month_name AS period, {rdiv('sum(n)', 'count(*)', 2)} AS avg_daily_sales, {rdiv('sum(c)', 'count(*)', 1)} AS avg_orders
  FROM (SELECT sale_date, day_name, day_of_week AS dow, month_name, month, year, {ORD} AS n, count(*) AS c FROM fo
- WHERE store_name = 'LAS VEGAS' AND sale_date >= DATE '2000-07-31' GROUP BY ALL) GROUP BY 1, 2, 3, 4, 5"""),
+ WHERE store_name = 'LAS VEGAS' AND sale_date >= (SELECT max(sale_date) - INTERVAL 1 YEAR FROM st) GROUP BY ALL) GROUP BY 1, 2, 3, 4, 5"""),
     "Q35_category_mix": q(f"""SELECT rcat AS revenue_center_name, {dbl('n')} AS net_sales, {rdiv('n', 't', 4)} AS pct_of_total FROM (
  SELECT rcat, sum(item_net_sales) AS n, sum(sum(item_net_sales)) OVER () AS t FROM fp WHERE mon = (SELECT m FROM lmi)
  AND store_name = 'LAS VEGAS' AND rcat <> 'Other' GROUP BY 1)"""),
@@ -627,7 +672,7 @@ TWINS: dict[str, str] = {
     "Q51_freshness_summary": q(f"""SELECT source_name, {ts('max(loaded_at)')} AS last_loaded_at,
  {big('sum(row_count)')} AS total_rows_ingested, {big('count(*)')} AS files_processed FROM mf GROUP BY 1"""),
     "Q52_data_watermark": q("""SELECT max(sale_date) AS latest_sale_date, min(sale_date) AS earliest_sale_date,
- CAST(date_diff('day', max(sale_date), DATE '2001-07-31') AS INTEGER) AS days_since_last_data FROM fo"""),
+ CAST(date_diff('day', max(sale_date), (SELECT max(sale_date) FROM st)) AS INTEGER) AS days_since_last_data FROM fo"""),
     "P1_classify_keyword": q(f"""SELECT dessert AS item_name, {big('count(*)')} AS lines, {classified('dessert')} AS product
  FROM ta GROUP BY dessert"""),
     "P2_classify_exact": q(f"""SELECT item AS item_name, {big('count(*)')} AS lines, {named('item')} AS product FROM tb GROUP BY item"""),

@@ -23,7 +23,6 @@ from tallyhouse.sources import tables
 Query = Callable[[Warehouse], DataFrame]
 
 STORE = "LAS VEGAS"
-MONTHS = D.months_between(dt.date(1995, 1, 1), dt.date(2001, 7, 1))
 START = dt.date(1999, 1, 1)
 
 
@@ -283,7 +282,7 @@ QUERIES: dict[str, Query] = {
     "Q5_daily_last_90": D.daily_last_90,
     "Q6_net_sales_ytd_daily": D.net_sales_ytd_daily,
     "Q7_store_leaderboard_mom": D.store_leaderboard_mom,
-    "Q8_store_month_matrix": lambda w: D.store_month_matrix(w, MONTHS),
+    "Q8_store_month_matrix": D.store_month_matrix,
     "Q9_store_month_options": D.store_month_options,
     "Q10_store_monthly_sales": lambda w: D.store_monthly_sales(w, STORE),
     "Q11_labor_efficiency": D.labor_efficiency,

@@ -38,7 +38,6 @@ class Brand:
 class Settings:
     """Bounds that the reports read instead of the wall clock."""
 
-    calendar_start: dt.date = dt.date(1995, 1, 1)
-    as_of: dt.date = dt.date(2001, 7, 31)
+    as_of: dt.date | None = None  # reporting date; None is the last sale date
     calendar_years_ahead: int = 3
     brand: Brand = field(default_factory=Brand)

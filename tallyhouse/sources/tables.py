@@ -13,9 +13,6 @@ from tallyhouse.functions.parsing import MONEY
 from tallyhouse.settings import FEED_A, FEED_B, FEED_C, Settings
 from tallyhouse.sources.schemas import FEED_B_COLUMNS
 
-# The month after this day holds two orders only and would be every "latest month".
-LAST_DAY = "2001-08-01"
-
 # Fixed values of the adapter: table codes as the feeds would spell them.
 REVENUE_CENTER_A = {
     "STANDARD": "Beverages",
@@ -66,7 +63,7 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines and orders are the two tables that always grow together: the hint makes
     them meet by a merge join, split over all tasks, rather than broadcast one.
     """
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(LAST_DAY))
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
