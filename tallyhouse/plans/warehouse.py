@@ -236,8 +236,11 @@ class FeedWarehouse(Warehouse):
         seed: str,
         loaded_at: dt.datetime,
         settings: Settings = Settings(),
+        store_aliases: dict[str, str] | None = None,
     ):
+        """``store_aliases`` maps feed-B names that a file name cannot spell to the store's own."""
         super().__init__(spark, "", settings)
+        self.store_aliases = store_aliases or {}
         self.feed_a, self.feed_b, self.orders, self.seed = feed_a, feed_b, orders, seed
         self.loaded_at = loaded_at
 
@@ -248,15 +251,15 @@ class FeedWarehouse(Warehouse):
     @cached_property
     def raw_b(self) -> DataFrame:
         def build():
-            return feeds.read_feed_b(self.spark, self.feed_b, self.settings.brand, self.loaded_at)
+            rows = feeds.read_feed_b(self.spark, self.feed_b, self.settings.brand, self.loaded_at)
+            return rows.replace(self.store_aliases, subset=["Location"]) if self.store_aliases else rows
 
         return self._keep("raw_b", build)
 
     @cached_property
     def raw_c(self) -> DataFrame:
         def build():
-            orders_xml.check_payloads(self.spark, self.orders)
-            nested = orders_xml.read_orders(self.spark, self.orders)
+            nested, self.failed_payloads = orders_xml.read_good_orders(self.spark, self.orders)
             return orders_xml.nested_to_bronze(nested, F.lit(self.loaded_at))
 
         return self._keep("raw_c", build)

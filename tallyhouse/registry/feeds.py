@@ -180,15 +180,15 @@ def _new_table(w: Warehouse, df: DataFrame, partitions: tuple[str, ...]) -> relo
 
 
 def _slices(w: Warehouse) -> DataFrame:
-    """Feed-C rows as store-year slices, a partition grain that suits small data."""
+    """Feed-C rows as store-day slices."""
     return w.raw_c.select(
-        F.trim("Location").alias("store"), F.trunc("Date", "YEAR").alias("year_start"),
+        F.trim("Location").alias("store"), col("Date", "sale_date"),
         col("Order ID"), "entry_id", col("Net Sales"),
     )
 
 
 def _slice_totals(df: DataFrame, *more: Column) -> DataFrame:
-    return df.groupBy("store", "year_start").agg(
+    return df.groupBy("store", "sale_date").agg(
         F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales"), *more
     )
 
@@ -196,9 +196,9 @@ def _slice_totals(df: DataFrame, *more: Column) -> DataFrame:
 def replaced_slices(w: Warehouse) -> DataFrame:
     """All slices, then a second delivery of the year 2000 with one unit more per line."""
     rows = _slices(w)
-    target = _new_table(w, rows, ("store", "year_start"))
+    target = _new_table(w, rows, ("store", "sale_date"))
     reload.replace_slice(rows, target)
-    again = rows.filter(F.year("year_start") == 2000).withColumn(
+    again = rows.filter(F.year("sale_date") == 2000).withColumn(
         "net_sales", (F.col("net_sales") + 1).cast(P.MONEY)
     )
     reload.replace_slice(again, target)
@@ -206,14 +206,17 @@ def replaced_slices(w: Warehouse) -> DataFrame:
 
 
 def replaced_entries(w: Warehouse) -> DataFrame:
-    """Raw entries with a unique key; the second delivery lacks the void entries of 1999."""
+    """Raw entries with a unique key; the second delivery lacks the void entries of 1999.
+
+    A store-day that holds voids only is not in the delivery at all, so its slice stays.
+    """
     rows = tables.raw_feed_c_entries(w.lines, w.settings).select(
-        F.trim("store_name").alias("store"), F.trunc("business_date", "YEAR").alias("year_start"),
+        F.trim("store_name").alias("store"), F.col("business_date").alias("sale_date"),
         "order_id", "entry_id", "net_sales", "is_voided",
     )
-    target = _new_table(w, rows, ("store", "year_start"))
+    target = _new_table(w, rows, ("store", "sale_date"))
     reload.replace_entries(rows, target)
-    reload.replace_entries(rows.filter((F.year("year_start") == 1999) & ~F.col("is_voided")), target)
+    reload.replace_entries(rows.filter((F.year("sale_date") == 1999) & ~F.col("is_voided")), target)
     return _slice_totals(target.read(), F.count_if("is_voided").alias("voided"))
 
 
@@ -226,53 +229,53 @@ def unseen_files(w: Warehouse) -> DataFrame:
     return manifest.new_files(found, known)
 
 
-def _months(df: DataFrame, money: str = "Net Sales") -> DataFrame:
-    """Daily rows at month grain: the date column of the range reloads."""
+def _days(df: DataFrame, money: str = "Net Sales") -> DataFrame:
+    """Rows of a delivery with the day that range reloads go by."""
     return df.select(
-        F.trim("Location").alias("store"), F.trunc("Date", "MM").alias("month"),
+        F.trim("Location").alias("store"), col("Date", "sale_date"),
         col(money, "net_sales"), F.lit(1).alias("version"),
     )
 
 
 def _by_version(df: DataFrame) -> DataFrame:
-    return df.groupBy("month", "version").agg(
+    return df.groupBy("sale_date", "version").agg(
         F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales")
     )
 
 
 def _second_version(df: DataFrame) -> DataFrame:
     """Mid 2000 again, without July."""
-    month = F.col("month").cast("string")
+    month = F.trunc("sale_date", "MM").cast("string")
     chosen = df.filter(month.isin("2000-05-01", "2000-06-01", "2000-08-01"))
     return chosen.withColumn("version", F.lit(2))
 
 
 def reloaded_range(w: Warehouse) -> DataFrame:
     """A reload of May to August 2000 that lacks July: July goes, the rest is replaced."""
-    rows = _months(w.raw_a)
-    target = _new_table(w, rows, ("month",))
-    reload.load([rows, _second_version(rows)], target, "month")
+    rows = _days(w.raw_a)
+    target = _new_table(w, rows, ("sale_date",))
+    reload.load([rows, _second_version(rows)], target, "sale_date")
     return _by_version(target.read())
 
 
 def reloaded_scope(w: Warehouse) -> DataFrame:
     """The same reload by one store leaves the other stores alone."""
-    rows = _months(w.raw_b, "FinalPrice")
-    target = _new_table(w, rows, ("month",))
-    reload.load([rows], target, "month")
+    rows = _days(w.raw_b, "FinalPrice")
+    target = _new_table(w, rows, ("sale_date",))
+    reload.load([rows], target, "sale_date")
     mine = rows.filter(F.col("store").endswith("NATION_5"))
-    reload.load([_second_version(mine)], target, "month", scope_col="store")
-    return target.read().groupBy("store", "month", "version").agg(
+    reload.load([_second_version(mine)], target, "sale_date", scope_col="store")
+    return target.read().groupBy("store", "sale_date", "version").agg(
         F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales")
     )
 
 
 def refreshed(w: Warehouse) -> DataFrame:
     """A full refresh keeps nothing of the table it finds."""
-    rows = _months(w.raw_a)
-    target = _new_table(w, rows, ("month",))
-    reload.load([rows], target, "month")
-    reload.load([_second_version(rows)], target, "month", full_refresh=True)
+    rows = _days(w.raw_a)
+    target = _new_table(w, rows, ("sale_date",))
+    reload.load([rows], target, "sale_date")
+    reload.load([_second_version(rows)], target, "sale_date", full_refresh=True)
     return _by_version(target.read())
 
 
@@ -345,7 +348,7 @@ def bronze_b_rows(w: Warehouse) -> DataFrame:
 def files_to_gold(w: Warehouse) -> DataFrame:
     """The whole way from landed feed files to the order and item facts."""
     files = landed(w)
-    built = FeedWarehouse(w.spark, files.a, files.b, files.xml, files.seed, LOADED, w.settings)
+    built = FeedWarehouse(w.spark, files.a, files.b, files.xml, files.seed, LOADED, w.settings, tables.store_aliases(w.settings))
     orders = built.fact_order.groupBy("source_system", "store_key").agg(
         F.count("*").alias("orders"), F.sum("order_net_sales").alias("net_sales")
     )
@@ -431,15 +434,14 @@ def watermark_rows(w: Warehouse) -> DataFrame:
     )
 
 
-def _yearly(w: Warehouse) -> DataFrame:
+def _store_days(w: Warehouse) -> DataFrame:
     return _silver(w).select(
-        "store_name", F.trunc("sale_date", "YEAR").alias("sale_date"), "order_ref", "net_sales",
-        "_source_system", "_ingested_at",
+        "store_name", "sale_date", "order_ref", "net_sales", "_source_system", "_ingested_at"
     )
 
 
 def _upserted(w: Warehouse) -> reload.Table:
-    rows = _yearly(w)
+    rows = _store_days(w)
     target = _new_table(w, rows, ("store_name", "sale_date"))
     early = rows.filter(F.col("_ingested_at") < F.lit("2000-07-01").cast("timestamp"))
     target.replace_partitions(early)
@@ -455,11 +457,11 @@ def upserted_slices(w: Warehouse) -> DataFrame:
 
 
 def delete_insert(w: Warehouse) -> DataFrame:
-    """Orders of 2001 delivered again at half price: no order twice, all others as before."""
+    """Orders of 2001 delivered again at twice the price: no order twice, all others as before."""
     keys = ["source_system", "order_id"]
     fact = w.fact_order.select(*keys, "date_key", "order_net_sales")
     batch = fact.filter(F.col("date_key") >= 20010101).withColumn(
-        "order_net_sales", F.col("order_net_sales") - F.col("order_net_sales")
+        "order_net_sales", (F.col("order_net_sales") * 2).cast(P.MONEY)
     )
     return incremental.delete_insert(fact, batch, keys)
 
@@ -488,8 +490,8 @@ def lookback_rows(w: Warehouse) -> DataFrame:
 
 
 def streamed_files(w: Warehouse) -> DataFrame:
-    """The silver table's own files through a file stream into store-year slices."""
-    rows = _yearly(w)
+    """The silver table's own files through a file stream into store-day slices."""
+    rows = _store_days(w)
     source = fresh_dir(w.spark, "stream-source")
     rows.write.parquet(source)
     target = _new_table(w, rows, ("store_name", "sale_date"))

@@ -336,8 +336,6 @@ ITEM_SUM = f"""{big('count(*)')} AS transactions, {big('count(DISTINCT ok)')} AS
  {dbl('sum(price)')} AS gross_sales, {dbl('sum(disc)')} AS total_discounts"""
 ITEM_AVG = f"{rdiv('sum(acc)', 'count(acc)', 2)} AS avg_net_sales"
 VERSION = f"{big('count(*)')} AS lines, {dbl('sum(net)')} AS net_sales"
-YEARLY = "CAST(date_trunc('year', {0}) AS DATE)"
-MONTHLY = "CAST(date_trunc('month', {0}) AS DATE)"
 RELOADED = "('2000-05-01', '2000-06-01', '2000-08-01')"
 
 
@@ -388,30 +386,31 @@ TWINS: dict[str, str] = {
  CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS VARCHAR) AS opened_time,
  strftime(closed, '%Y-%m-%d %H:%M') AS closed_time, CAST(NULL AS VARCHAR) AS terminal_id,
  CAST(NULL AS VARCHAR) AS till_number, CAST(ok % 7 + 5000 AS VARCHAR) AS employee_id,
- substr(pri, 1, 1) AS destination_id, store AS store_name, {YEARLY.format('d')} AS business_date
+ substr(pri, 1, 1) AS destination_id, loc AS store_name, d AS business_date
  FROM lx WHERE feed = 'feed_c'"""),
     "A9_entry_rows": q(f"""SELECT CAST(ok AS VARCHAR) AS order_id, entry AS entry_id, CAST(pk AS VARCHAR) AS item_id,
  CAST(p_size + 640207700 AS VARCHAR) AS revenue_center_id, {dbl('net')} AS net_sales, {dbl('price')} AS gross_sales,
- {dbl('price')} AS display_price, void AS is_voided, FALSE AS is_deleted, store AS store_name,
- {YEARLY.format('d')} AS business_date FROM lx WHERE feed = 'feed_c'"""),
-    "A10_entries_to_bronze": q(f"""SELECT store AS location, {YEARLY.format('d')} AS sale_date, emp AS employee_name,
+ {dbl('price')} AS display_price, void AS is_voided, FALSE AS is_deleted, loc AS store_name,
+ d AS business_date FROM lx WHERE feed = 'feed_c'"""),
+    "A10_entries_to_bronze": q(f"""SELECT loc AS location, d AS sale_date, emp AS employee_name,
  pk AS item_id, {dbl('price')} AS price, {dbl('tax')} AS taxes, {dbl('net')} AS net_sales, {dbl('price')} AS total_sales,
  rc AS revenue_center, dest AS destination, void AS voided, modi AS is_modifier, oid AS order_id, entry AS entry_id FROM rc"""),
-    "A11_replace_slice": q(f"""SELECT trim(loc) AS store, {YEARLY.format('d')} AS year_start, {big('count(*)')} AS lines,
+    "A11_replace_slice": q(f"""SELECT trim(loc) AS store, d AS sale_date, {big('count(*)')} AS lines,
  {dbl('sum(CASE WHEN year(d) = 2000 THEN net + 1 ELSE net END)')} AS net_sales FROM rc GROUP BY ALL"""),
-    "A12_replace_entries": q(f"""SELECT trim(loc) AS store, {YEARLY.format('d')} AS year_start, {big('count(*)')} AS lines,
- {dbl('sum(net)')} AS net_sales, {big('count(*) FILTER (void)')} AS voided FROM rc
- WHERE NOT (void AND year(d) = 1999) GROUP BY ALL"""),
+    "A12_replace_entries": q(f"""SELECT trim(loc) AS store, d AS sale_date, {big('count(*)')} AS lines,
+ {dbl('sum(net)')} AS net_sales, {big('count(*) FILTER (void)')} AS voided FROM (
+ SELECT *, count(*) FILTER (NOT void) OVER (PARTITION BY loc, d) AS good FROM rc)
+ WHERE NOT (void AND year(d) = 1999 AND good > 0) GROUP BY ALL"""),
     "A13_new_files": q("""SELECT DISTINCT 'feed_a' AS source_name, file_a AS filename FROM ta WHERE file_a NOT IN (
  SELECT filename FROM mf WHERE loaded_at < TIMESTAMP '2000-01-01')"""),
-    "A14_reload_range": q(f"""SELECT {MONTHLY.format('d')} AS month, CAST(CASE WHEN d >= DATE '2000-05-01'
+    "A14_reload_range": q(f"""SELECT d AS sale_date, CAST(CASE WHEN d >= DATE '2000-05-01'
  AND d < DATE '2000-09-01' THEN 2 ELSE 1 END AS INTEGER) AS version, {VERSION} FROM ra
  WHERE strftime(d, '%Y-%m') <> '2000-07' GROUP BY ALL"""),
-    "A15_reload_scope": q(f"""SELECT trim(loc) AS store, {MONTHLY.format('d')} AS month,
+    "A15_reload_scope": q(f"""SELECT trim(loc) AS store, d AS sale_date,
  CAST(CASE WHEN loc LIKE '%NATION_5' AND d >= DATE '2000-05-01' AND d < DATE '2000-09-01' THEN 2 ELSE 1 END AS INTEGER)
  AS version, {big('count(*)')} AS lines, {dbl('sum(fp)')} AS net_sales FROM rb
  WHERE NOT (loc LIKE '%NATION_5' AND strftime(d, '%Y-%m') = '2000-07') GROUP BY ALL"""),
-    "A16_full_refresh": q(f"""SELECT {MONTHLY.format('d')} AS month, 2 AS version, {VERSION} FROM ra
+    "A16_full_refresh": q(f"""SELECT d AS sale_date, 2 AS version, {VERSION} FROM ra
  WHERE strftime(d, '%Y-%m-01') IN {RELOADED} GROUP BY ALL"""),
     "A18_load_seed": q("SELECT * FROM cs"),
     "A19_split_by_source": q(f"""SELECT {big('a + c')} AS total_rows, {big('a')} AS feed_a_rows, {big('c')} AS feed_c_rows,
@@ -433,9 +432,10 @@ TWINS: dict[str, str] = {
  {dbl('sum(i)')} AS items_sold, {dbl('sum(n)')} AS item_net_sales FROM (
  SELECT 'feed_a' AS source_system, upper(store) AS store_name, ok, cur AS n, 1 AS i FROM ta
   WHERE NOT void AND NOT modi AND cur IS NOT NULL
- UNION ALL SELECT 'feed_b', upper(replace(store, ' ', '_')), ok, fpx, qx FROM tb
+ UNION ALL SELECT 'feed_b', upper(store), ok, fpx, qx FROM tb
   WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
- UNION ALL SELECT 'feed_c', upper(store), ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void) GROUP BY ALL"""),
+ UNION ALL SELECT 'feed_c', upper(store), ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void
+  AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL"""),
     "B1_source_precedence": q(f"""SELECT loc AS location, d AS sale_date, src AS _source_system, {VERSION}
  FROM bac GROUP BY ALL"""),
     "B2_item_catalog": q("SELECT * FROM cat"),
@@ -709,10 +709,10 @@ TWINS: dict[str, str] = {
  FROM it GROUP BY 1""", ITEM),
     "I1_load_watermark": q(f"""SELECT _source_system, sale_date, {big('count(*)')} AS lines, {dbl('sum(net_sales)')} AS net_sales
  FROM st WHERE _ingested_at >= TIMESTAMP '2001-01-01' GROUP BY 1, 2"""),
-    "I2_partition_replace": q(f"""SELECT store_name, {YEARLY.format('st.sale_date')} AS sale_date, {big('count(*)')} AS lines,
+    "I2_partition_replace": q(f"""SELECT store_name, sale_date, {big('count(*)')} AS lines,
  {dbl('sum(net_sales)')} AS net_sales FROM st GROUP BY 1, 2"""),
     "I3_delete_insert": q(f"""SELECT source_system, order_id, date_key,
- {dbl("CASE WHEN sale_date >= DATE '2001-01-01' THEN 0 ELSE fo.order_net_sales END")} AS order_net_sales FROM fo"""),
+ {dbl("CASE WHEN sale_date >= DATE '2001-01-01' THEN 2 * fo.order_net_sales ELSE fo.order_net_sales END")} AS order_net_sales FROM fo"""),
     "I3_refresh_months": q(f"""SELECT mon AS sale_month, source_system, {big(CNT)} AS orders, {dbl(ORD)} AS net_sales
  FROM fo GROUP BY 1, 2"""),
     "I4_lookback": q(f"""SELECT sale_date, {big('count(*)')} AS lines FROM st WHERE sale_date >

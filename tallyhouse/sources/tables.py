@@ -170,6 +170,12 @@ def file_b(settings: Settings) -> Column:
     return F.concat(F.lit(f"{brand}-hqaccount_{brand}"), slug, F.lit("_transactions_all.csv"))
 
 
+def store_aliases(settings: Settings) -> dict[str, str]:
+    """Stores whose names hold spaces, as a feed-B file name spells them and as they are."""
+    prefix = settings.brand.display_prefix
+    return {f"{prefix}{name.replace(' ', '_')}": f"{prefix}{name}" for name in STORE_OF_NATION.values()}
+
+
 def _void() -> Column:
     return (F.col("line_no") == 7) & (F.col("return_flag") == "R")
 
@@ -447,7 +453,7 @@ def feed_b_text(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def nested_orders(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Feed C as nested orders, one drop per store and year.
+    """Feed C as nested orders, one drop per store and day, stores spelled as in feed A.
 
     Collecting entries is bounded by the lines of one order.
     """
@@ -472,8 +478,8 @@ def nested_orders(lines: DataFrame, settings: Settings = Settings()) -> DataFram
         "ClosedTime": closed_at(),
         "EmployeeId": (F.pmod("order_key", F.lit(7)) + 5000).cast("string"),
         "DestinationId": F.substring("priority", 1, 1),
-        "store": F.col("store"),
-        "date": F.trunc("sale_date", "YEAR"),
+        "store": _location(settings),
+        "date": F.col("sale_date"),
     }
     rows = lines.filter(F.col("feed") == FEED_C).select(
         *[c.alias(n) for n, c in header.items()], entry.alias("entry")
