@@ -10,25 +10,35 @@ from tallyhouse.settings import Brand
 MONEY = "decimal(18,2)"
 
 # The feeds write M/d/yyyy h:mm a with or without seconds, or with a
-# two-digit year, where 69 to 99 mean 19xx.
+# two-digit year, where 69 to 99 mean 19xx. Files that went through other tools hold a
+# 24-hour clock, ISO dates, or no time at all.
 STAMP = "M/d/yyyy h:mm:ss a"
-NO_SECONDS = r"^(\S+ \d{1,2}:\d{2}) "
-YEAR_19 = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d) "
-YEAR_20 = r"^(\d{1,2}/\d{1,2}/)(\d{2}) "
+STAMP_24 = "M/d/yyyy H:mm:ss"
+DAY_ONLY = "M/d/yyyy"
+NO_SECONDS = r"^(\S+[ T]\d{1,2}:\d{2})(?=$| )"
+HALF_DAY = r"(?i)[ap]m$"
+ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+YEAR_19 = r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)(?=$| )"
+YEAR_20 = r"^(\d{1,2}/\d{1,2}/)(\d{2})(?=$| )"
 
 # Where a file name starts and ends inside a path.
-FEED_A_FILE = r"(DDBB_[^/]*\.csv)"
-FEED_B_FILE = r"([^/=]*hqaccount_[^/]*_transactions_[^/]*\.csv)"
+FEED_A_FILE = r"(?:^|/)(?:file=)?(DDBB_[^/]*\.csv)"
+FEED_B_FILE = r"(?:^|/)(?:file=)?([^/=]*hqaccount_[^/]*_transactions_[^/]*\.csv)"
 
 
 def parse_mixed_ts(col: Column | str) -> Column:
-    """Feed-A timestamp with or without seconds; anything else is NULL.
+    """Feed-A timestamp in any of its spellings; anything else is NULL, for the rejects.
 
-    The text is brought to one layout first: trying layouts in turn would raise
+    The text's form picks the layout first: trying layouts in turn would raise
     and swallow an exception per row.
     """
-    text = F.regexp_replace(F.trim(col), NO_SECONDS, "$1:00 ")
-    return F.try_to_timestamp(text, F.lit(STAMP))
+    text = F.regexp_replace(F.trim(col), NO_SECONDS, "$1:00")
+    return (
+        F.when(text.rlike(HALF_DAY), F.try_to_timestamp(text, F.lit(STAMP)))
+        .when(text.rlike(ISO), text.try_cast("timestamp"))
+        .when(text.contains(":"), F.try_to_timestamp(text, F.lit(STAMP_24)))
+        .otherwise(F.try_to_timestamp(text, F.lit(DAY_ONLY)))
+    )
 
 
 def parse_mixed_date(col: Column | str) -> Column:
@@ -37,8 +47,8 @@ def parse_mixed_date(col: Column | str) -> Column:
 
 def parse_any_date(col: Column | str) -> Column:
     """Feed-A or feed-B spelling, for reports that read both."""
-    text = F.regexp_replace(F.trim(col), YEAR_19, "$119$2 ")
-    return parse_mixed_date(F.regexp_replace(text, YEAR_20, "$120$2 "))
+    text = F.regexp_replace(F.trim(col), YEAR_19, "$119$2")
+    return parse_mixed_date(F.regexp_replace(text, YEAR_20, "$120$2"))
 
 
 def parse_feed_b_date(col: Column | str) -> Column:

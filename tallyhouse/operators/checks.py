@@ -12,6 +12,7 @@ from tallyhouse.functions.measures import ratio, share_of_rows
 from tallyhouse.operators import silver
 from tallyhouse.operators.facts import ORDER_KEY, keyed_lines
 from tallyhouse.settings import UNKNOWN
+from tallyhouse.storage import settle
 
 # --- column checks (T1-T5) ------------------------------------------------------
 
@@ -175,30 +176,38 @@ SLICE_DIGITS = 3
 def line_sequence(lines: DataFrame, keys: list[str], content: list[str]) -> DataFrame:
     """Number the lines of each key from 1, in the order of a digest of their content.
 
-    Lines without an order id all share one key, so a group has no size bound.
-    The digest's first digits cut a group into 4,096 ordered slices: slices are
-    numbered on their own, and a running count over at most 4,096 slice sizes
-    gives each slice its start.
+    Lines without an order id all share one key, and all of them may be equal, so neither a
+    group nor a digest has a size bound. Lines with equal digests are interchangeable: each is
+    numbered within the task that read it (a cell of group, digest and task), and only cell sizes
+    are summed up over a group, first by the digest's leading digits (at most 4,096 slices
+    a group), then by digest and task within a slice. No task ever holds a group.
     """
     text = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in content]
     digest = F.md5(F.concat_ws("|", *text))
     group = [f"_key{i}" for i in range(len(keys))]
-    marked = lines.select(
-        "*",
-        *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(g) for k, g in zip(keys, group)],
-        digest.alias("_digest"),
-        F.substring(digest, 1, SLICE_DIGITS).alias("_slice"),
+    # written, so that every later step sees a line in the same task's cell
+    marked = settle(
+        lines.select(
+            "*",
+            *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(g) for k, g in zip(keys, group)],
+            digest.alias("_digest"),
+            F.substring(digest, 1, SLICE_DIGITS).alias("_slice"),
+            F.spark_partition_id().alias("_task"),
+        )
     )
-    place = [*group, "_slice"]
-    sizes = marked.groupBy(*place).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # Only groups with several slices have a start above 0.
-    starts = sizes.withColumn("_start", F.sum("_size").over(before)).filter("_start > 0")
-    inside = Window.partitionBy(*place).orderBy("_digest")
+    cell = [*group, "_slice", "_digest", "_task"]
+    cells = settle(marked.groupBy(*cell).agg(F.count("*").alias("_size")))
+    sizes = cells.groupBy(*group, "_slice").agg(F.sum("_size").alias("_size"))
+    to_here = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, "_slice", F.sum("_size").over(to_here(*group).orderBy("_slice")).alias("_start"))
+    within = F.sum("_size").over(to_here(*group, "_slice").orderBy("_digest", "_task"))
+    placed = cells.select(*cell, within.alias("_within")).join(starts, [*group, "_slice"])
+    placed = placed.select(*cell, (F.coalesce("_start", F.lit(0)) + F.coalesce("_within", F.lit(0))).alias("_before"))
+    inside = Window.partitionBy(*cell).orderBy(F.lit(0))
     numbered = marked.withColumn("_rank", F.row_number().over(inside))
-    shift = F.coalesce("_start", F.lit(0)) + F.col("_rank")
-    return numbered.join(starts.drop("_size"), place, "left").select(
-        *lines.columns, shift.cast("bigint").alias("line_seq")
+    # a cell that begins at 0 needs no lookup
+    return numbered.join(settle(placed.filter("_before > 0")), cell, "left").select(
+        *lines.columns, (F.coalesce("_before", F.lit(0)) + F.col("_rank")).cast("bigint").alias("line_seq")
     )
 
 

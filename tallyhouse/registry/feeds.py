@@ -13,6 +13,7 @@ from tallyhouse.operators import bronze, facts, silver
 from tallyhouse.plans.warehouse import FeedWarehouse, Warehouse
 from tallyhouse.session import fresh_dir
 from tallyhouse.sources import feeds, landing, orders_xml, tables
+from tallyhouse.sources import schemas as S
 from tallyhouse.streaming import file_stream, incremental, manifest, reload
 
 LOADED = dt.datetime(2001, 8, 10, 6, 0, 0)
@@ -104,6 +105,15 @@ def feed_b_scan(w: Warehouse) -> DataFrame:
     )
 
 
+def line_balance(w: Warehouse) -> DataFrame:
+    """Raw, kept, filtered and rejected lines of every file of both CSV feeds."""
+    text_a = feeds.read_feed_a_text(w.spark, f"{landed(w).a}/{feeds.FEED_A_GLOB}")
+    text_b = feeds.read_feed_b_text(w.spark, f"{landed(w).b}/{feeds.FEED_B_GLOB}")
+    sale = F.coalesce(F.col("Type").isin(*S.FEED_B_SALE_TYPES), F.lit(False))
+    a = feeds.line_balance(text_a, "Closed Date/Time", F.lit(True), P.FEED_A_FILE)
+    return a.unionByName(feeds.line_balance(text_b, "Date", sale, P.FEED_B_FILE))
+
+
 def mixed_dates(w: Warehouse) -> DataFrame:
     text = w.text_a
     parsed = P.parse_mixed_ts("Closed Date/Time")
@@ -428,7 +438,7 @@ def _loaded_before(w: Warehouse, when: str) -> DataFrame:
 def watermark_rows(w: Warehouse) -> DataFrame:
     """Rows newer than a target that was loaded up to the end of 2000, per source."""
     held = _loaded_before(w, "2001-01-01 00:00:00")
-    new = incremental.newer_than_target(_silver(w), held)
+    new = incremental.newer_than_target(_silver(w), held, inclusive=False)
     return new.groupBy("_source_system", "sale_date").agg(
         F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales")
     )

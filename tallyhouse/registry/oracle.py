@@ -369,6 +369,9 @@ TWINS: dict[str, str] = {
  ELSE 'Nation_' || nk END AS location, d AS sale_date, CAST(ck AS VARCHAR) AS account, staff_b AS staff,
  CAST(ok AS VARCHAR) AS reference, typ AS type, {dbl('qx')} AS qty, {dbl('fpx')} AS final_price, item,
  grp_b AS item_group, file_b AS _source_file FROM tb WHERE typ IN ('SALE', 'UPDATE')"""),
+    "A2_line_balance": q(f"""SELECT file, {big('count(*)')} AS raw_lines, {big('count(*) FILTER (good)')} AS kept_lines,
+ {big('count(*) FILTER (NOT good)')} AS filtered_lines, CAST(0 AS BIGINT) AS malformed_lines, CAST(0 AS BIGINT) AS undated_lines
+ FROM (SELECT file_a AS file, TRUE AS good FROM ta UNION ALL SELECT file_b, typ IN ('SALE', 'UPDATE') FROM tb) GROUP BY file"""),
     "A3_mixed_dates": q(f"SELECT d AS day, CAST(hour(closed) AS INTEGER) AS hour, {big('count(*)')} AS lines FROM ta GROUP BY ALL"),
     "A4_feed_b_dates": q(f"SELECT d AS day, {big('count(*)')} AS lines FROM tb GROUP BY ALL"),
     "A5_clean_currency": q(f"""SELECT file_a AS file, {dbl('sum(cur)')} AS net_sales,

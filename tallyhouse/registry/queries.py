@@ -189,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "A5_clean_currency": A.currency,
     "A6_clean_accounting": A.accounting,
     "A7_lineage": A.lineage,
+    "A2_line_balance": A.line_balance,
     "A8_store_from_filename": A.stores_from_files,
     "A9_order_rows": A.xml_orders,
     "A9_entry_rows": A.xml_entries,

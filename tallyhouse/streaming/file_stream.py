@@ -1,28 +1,55 @@
-"""New files as a stream (I5): each micro-batch replaces the slices it touches."""
+"""New files as a stream (I5): each micro-batch adds to bronze and rebuilds the slices it touches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.session import fresh_dir
+from tallyhouse.streaming.incremental import complete_slices
 from tallyhouse.streaming.reload import Table
 
+BATCH = "_batch"
 
-def stream_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+
+def stream_files(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+) -> DataFrame:
     """Parquet files of a folder as they appear."""
-    return spark.readStream.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def bronze_table(target: Table, path: str | None = None) -> Table:
+    """The raw rows behind a target, one folder for each micro-batch."""
+    fields = [f for f in target.schema.fields if f.name != BATCH]
+    schema = T.StructType([*fields, T.StructField(BATCH, T.LongType())])
+    return Table(target.spark, path or f"{target.path}.bronze", schema, (BATCH,))
 
 
-def ingest_available(stream: DataFrame, target: Table, checkpoint: str | None = None) -> None:
+def ingest_available(
+    stream: DataFrame, target: Table, checkpoint: str | None = None, bronze: Table | None = None
+) -> None:
     """Process the files present now and stop; the checkpoint remembers them.
 
-    One trigger takes every waiting file. A batch replaces the store-days it
-    holds, so a batch that is replayed after a failure changes nothing. As in
-    every load, a file must deliver its store-days whole.
+    A batch is written to bronze under its number, so a batch that is replayed after a
+    failure replaces itself. Then the slices it touches are rebuilt from all of bronze:
+    files of one store-day that arrive in different triggers end as if they had come together.
     """
+    bronze = bronze or bronze_table(target)
+
+    def load(batch: DataFrame, number: int) -> None:
+        numbered = batch.withColumn(BATCH, F.lit(number).cast("long"))
+        bronze.replace_partitions(numbered)
+        held = bronze.read()
+        new = held.filter(F.col(BATCH) == number)
+        target.replace_partitions(complete_slices(new, held, list(target.partitions)))
+
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _epoch: target.replace_partitions(batch))
+        stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint or fresh_dir(target.spark, "stream"))
         .trigger(availableNow=True)
         .start()

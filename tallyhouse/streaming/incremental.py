@@ -14,14 +14,14 @@ STORE_DAY = ["store_name", "sale_date"]
 
 
 def newer_than_target(
-    rows: DataFrame, target: DataFrame, per_source: bool = True, inclusive: bool = False
+    rows: DataFrame, target: DataFrame, per_source: bool = True, inclusive: bool = True
 ) -> DataFrame:
     """Rows loaded after the target's last load, whatever their sale date.
 
     The mark is kept per source: one source that loads late is not hidden by
     another that loaded later. ``per_source=False`` is the single mark.
-    ``inclusive`` keeps rows that share the mark's instant, for a second load of
-    the same moment; the slices they fall in are replaced whole, so nothing doubles.
+    ``inclusive`` keeps rows that share the mark's instant, as a second load of the same
+    moment would bring; the slices they fall in are replaced whole, so nothing doubles.
     """
     if not per_source:
         mark = target.select(F.max("_ingested_at")).scalar()
@@ -31,7 +31,7 @@ def newer_than_target(
     marks = target.groupBy(F.col("_source_system").alias("_src")).agg(
         F.max("_ingested_at").alias("_mark")
     )
-    joined = rows.join(F.broadcast(marks), F.col("_source_system") == F.col("_src"), "left")
+    joined = rows.join(marks, F.col("_source_system") == F.col("_src"), "left")
     newer = F.col("_ingested_at") >= F.col("_mark") if inclusive else (
         F.col("_ingested_at") > F.col("_mark")
     )
@@ -54,8 +54,17 @@ def complete_slices(new: DataFrame, all_rows: DataFrame, keys: list[str] = STORE
 
 
 def upsert_slices(rows: DataFrame, target: Table) -> None:
-    """Incremental silver run: find new rows, replace the store-days they touch."""
+    """Incremental silver run: find new rows, replace the store-days they touch.
+
+    Store-days that the source no longer has are dropped from the target.
+    """
+    gone = []
+    if target.exists():
+        held = target.folders(F.lit(True))
+        lost = held.join(settle(touched_slices(rows, list(target.partitions))), list(target.partitions), "left_anti")
+        gone = [r.folder for r in lost.select("folder").collect()]
     target.replace_partitions(complete_slices(newer_than_target(rows, target.read()), rows))
+    target.drop_folders(gone)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ the folder it writes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from tallyhouse.session import fresh_dir
 from tallyhouse.storage import settle
 
 
+# Fixed value: how a partition folder spells a missing value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Table:
     """A partitioned parquet folder with a fixed schema."""
@@ -54,11 +59,29 @@ class Table:
         rows = self._stage(df).hint("rebalance", *self.partitions)
         rows.write.mode("overwrite").partitionBy(*self.partitions).parquet(self.path)
 
+    def swap(self, other: "Table") -> None:
+        """Take the other table's place in the file system: two renames, then the old rows go."""
+        mine, fs = _file_system(self.spark, self.path)
+        theirs, _ = _file_system(self.spark, other.path)
+        old, _ = _file_system(self.spark, f"{self.path}.old")
+        if not other.exists():
+            fs.mkdirs(theirs)
+        fs.delete(old, True)
+        if fs.exists(mine):
+            fs.rename(mine, old)
+        fs.rename(theirs, mine)
+        fs.delete(old, True)
+
     def folders(self, where: Column) -> DataFrame:
-        """Partition values and folder of the rows that hold for ``where``."""
-        rows = self.spark.read.schema(self.schema).parquet(self.path)
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder")
-        return rows.filter(where).select(*self.partitions, folder).distinct()
+        """Partition values and folder of the partitions that hold for ``where``.
+
+        They come from the file listing that a read makes anyway; no file is opened.
+        """
+        found = {f.rpartition("/")[0] for f in self.spark.read.schema(self.schema).parquet(self.path).inputFiles()}
+        rows = [(f, *_partition_values(f, self.partitions)) for f in sorted(found)]
+        text = ", ".join(["folder string", *[f"`{p}` string" for p in self.partitions]])
+        typed = [F.col(p).cast(self.schema[p].dataType).alias(p) for p in self.partitions]
+        return self.spark.createDataFrame(rows, text).select(*typed, "folder").filter(where)
 
     def drop_folders(self, folders: list[str]) -> None:
         """Delete partition folders; there are as many as partitions, not as rows."""
@@ -67,6 +90,12 @@ class Table:
             fs.delete(place, True)
 
 
+def _partition_values(folder: str, names: tuple[str, ...]) -> list[str | None]:
+    """Values of the last path segments; the path is a URI, and values in it are escaped once more."""
+    parts = dict(p.partition("=")[::2] for p in unquote(folder).split("/") if "=" in p)
+    return [None if parts[n] == NO_VALUE else unquote(parts[n]) for n in names]
+
+
 def replace_slice(df: DataFrame, target: Table) -> None:
     """Replace the (store, date) slices of ``df``."""
     target.replace_partitions(df)
@@ -132,13 +161,13 @@ def _swap_range(df, kept, inside, target, span, date_col, scope_col) -> None:
     """
     touched = df.select(*target.schema.names)
     shared = target.partitions == (date_col,) and scope_col is not None
+    near = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
     if shared:
-        near = F.col(date_col).between(F.lit(span.lo), F.lit(span.hi))
         touched = touched.unionByName(kept.filter(near))
     by = list(target.partitions)
     empty = []
     if target.exists():
-        old = target.folders(F.coalesce(inside, F.lit(False)))
+        old = target.folders(F.coalesce(near if shared else inside, F.lit(False)))
         gone = old.join(touched.select(*by).distinct(), by, "left_anti")
         empty = [r.folder for r in gone.select("folder").collect()]
     target.replace_partitions(touched, reads_target=shared)
@@ -160,6 +189,10 @@ def load(
     full_refresh: bool = False,
 ) -> int:
     """Load files in order, each as a range reload; a full refresh starts empty."""
-    if full_refresh and target.exists():
-        target.overwrite(target.read().limit(0))
-    return sum(reload_range(batch, target, date_col, scope_col) for batch in batches)
+    if not full_refresh:
+        return sum(reload_range(batch, target, date_col, scope_col) for batch in batches)
+    # built beside the table and swapped in whole: a load that fails leaves the old rows
+    beside = Table(target.spark, fresh_dir(target.spark, "refresh"), target.schema, target.partitions)
+    total = sum(reload_range(batch, beside, date_col, scope_col) for batch in batches)
+    target.swap(beside)
+    return total

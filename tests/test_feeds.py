@@ -65,7 +65,7 @@ def test_feed_a_can_accept_parentheses(spark, tmp_path):
 
 
 def test_feed_b(spark, tmp_path):
-    name = "b-hqaccount_bluebirdcoffeeberkeley_transactions_20260401_20260501.csv"
+    name = "bluebirdcoffee-hqaccount_bluebirdcoffeeberkeley_transactions_20260401_20260501.csv"
     kinds = ["SALE", "UPDATE", "TRANSITORY_COMP", "TRANSITORY_OPEN", "VOID"]
     write(tmp_path / name, S.FEED_B_COLUMNS, [row_b(Type=k) for k in kinds], ";", "latin-1")
     got = feeds.read_feed_b(spark, str(tmp_path), loaded_at=LOADED).collect()
@@ -77,10 +77,25 @@ def test_feed_b(spark, tmp_path):
 
 
 def test_feed_b_without_sales_is_empty(spark, tmp_path):
-    write(tmp_path / "b-hqaccount_x_transactions_1.csv", S.FEED_B_COLUMNS, [row_b(Type="VOID")], ";")
+    write(tmp_path / "bluebirdcoffee-hqaccount_x_transactions_1.csv", S.FEED_B_COLUMNS, [row_b(Type="VOID")], ";")
     assert feeds.read_feed_b(spark, str(tmp_path)).count() == 0
 
 
+def test_counts_do_not_depend_on_columns(spark, tmp_path):
+    name = "bluebirdcoffee-hqaccount_bluebirdcoffeeberkeley_transactions_1.csv"
+    lines = [row_b(), row_b()[:-3], [*row_b(), "more", "cells"], row_b(Date="soon"), row_b(Type="VOID")]
+    write(tmp_path / name, S.FEED_B_COLUMNS, lines, ";", "latin-1")
+    write(tmp_path / "old_DDBB_x.csv", S.FEED_A_COLUMNS, [row_a()])
+    text = feeds.read_feed_b_text(spark, f"{tmp_path}/{feeds.FEED_B_GLOB}")
+    assert text.count() == text.select("Item").count() == len(text.collect()) == 5
+    assert feeds.read_feed_b(spark, str(tmp_path)).count() == 1
+    assert sorted(r.reason for r in feeds.rejects(text, "Date").collect()) == ["malformed line"] * 2 + ["unreadable date"]
+    sale = F.col("Type") == "SALE"
+    (row,) = feeds.line_balance(text, "Date", sale, r"(bluebird[^/]*)").collect()
+    assert tuple(row)[1:] == (5, 1, 1, 2, 1)
+    assert feeds.read_feed_a(spark, str(tmp_path)).count() == 0
+
+
 def test_read_many(spark, tmp_path):
     write(tmp_path / "a.csv", ["x", "y"], [["1", "2"]])
     write(tmp_path / "b.csv", ["y", "z"], [["3", "4"], ["5", "6", "7"]])

@@ -23,7 +23,7 @@ def test_mixed_timestamps(column):
         dt.datetime(2025, 1, 2, 12, 0), dt.datetime(2025, 1, 2, 0, 0),
         dt.datetime(2025, 1, 2, 0, 0, 1), dt.datetime(2025, 11, 30, 9, 5),
     ]
-    assert got[6:] == [None] * 4
+    assert got[6:] == [dt.datetime(2025, 1, 2)] + [None] * 3
 
 
 def test_feed_b_dates_and_their_century(column):
@@ -50,6 +50,20 @@ def test_accounting(column):
     assert column(texts, parsing.accounting_or_zero)[3:] == [Decimal("0.00")] * 3
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("4/14/2025 5:09 PM", "2025-04-14 17:09:00"), ("06/03/2026 05:30:55 PM", "2026-06-03 17:30:55"),
+        ("2025-04-14 17:09", "2025-04-14 17:09:00"), ("4/14/2025 17:09", "2025-04-14 17:09:00"),
+        ("2025-04-14T17:09:01", "2025-04-14 17:09:01"), ("2025-04-14", "2025-04-14 00:00:00"),
+        ("4/14/2025", "2025-04-14 00:00:00"), ("soon", None), ("13/45/2025 5:09 PM", None), ("", None),
+    ],
+)
+def test_mixed_spellings(column, text, want):
+    found = column([text], parsing.parse_mixed_ts)[0]
+    assert (found and str(found)) == want
+
+
 @pytest.mark.parametrize(
     "name, store",
     [

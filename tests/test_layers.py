@@ -275,6 +275,14 @@ def test_line_sequence_numbers_every_line_once(spark):
     assert sorted((r.o, r.i, r.line_seq) for r in got if r.o) == [("o", 1, 1), ("o", 1, 2), ("o", 2, 1)]
 
 
+def test_line_sequence_splits_equal_lines(spark):
+    df = spark.createDataFrame([(None, 1, "same")] * 4000, "o string, i int, v string").repartition(8)
+    got = checks.line_sequence(df, ["o", "i"], ["v"])
+    assert sorted(r.line_seq for r in got.collect()) == list(range(1, 4001))
+    window = got._jdf.queryExecution().executedPlan().toString()
+    assert "_task" in window  # numbered within the task that read them, 500 lines each here
+
+
 def test_coverage_finds_a_dropped_day(spark, bronze):
     stg = silver.stg_a(silver.enrich(bronze, silver.item_catalog(bronze)))
     late = bronze.unionByName(spark.createDataFrame([a(Date=D2), a(Date=dt.date(2025, 1, 9), Voided=True)], BRONZE_A))

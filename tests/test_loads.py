@@ -103,9 +103,9 @@ def test_marks_are_per_source(spark):
     new = spark.createDataFrame(
         [("a", d(1), "2", 1, "y", at(3)), ("a", d(1), "3", 1, "x", at(9)), ("a", d(1), "4", 1, "x", at(10))], STG)
     pick = lambda df: sorted(r.order_ref for r in df.collect())
-    assert pick(incremental.newer_than_target(new, held)) == ["2", "4"]
-    assert pick(incremental.newer_than_target(new, held, inclusive=True)) == ["2", "3", "4"]
-    assert pick(incremental.newer_than_target(new, held, per_source=False)) == ["4"]
+    assert pick(incremental.newer_than_target(new, held, inclusive=False)) == ["2", "4"]
+    assert pick(incremental.newer_than_target(new, held)) == ["2", "3", "4"]
+    assert pick(incremental.newer_than_target(new, held, per_source=False, inclusive=False)) == ["4"]
     assert pick(incremental.newer_than_target(new, held.limit(0))) == ["2", "3", "4"]
     assert pick(incremental.newer_than_target(new, held.limit(0), per_source=False)) == ["2", "3", "4"]
 
@@ -179,7 +179,38 @@ def test_file_stream_takes_only_new_files(spark, tmp_path):
         assert t.read().count() == expected
     spark.createDataFrame([("a", d(1), 5), ("c", d(2), 1)], first.schema).write.mode("append").parquet(source)
     file_stream.ingest_available(file_stream.stream_files(spark, source, first.schema), t, checkpoint)
-    assert rows(t) == [("a", d(1), 5), ("b", d(1), 1), ("c", d(2), 1)]
+    assert rows(t) == [("a", d(1), 1), ("a", d(1), 5), ("b", d(1), 1), ("c", d(2), 1)]
+
+
+def test_file_stream_does_not_depend_on_triggers(spark, tmp_path):
+    source = str(tmp_path / "in")
+    first = spark.createDataFrame([("a", d(1), 1), ("b", d(1), 1)], "store_name string, sale_date date, v int")
+    for more in (first, spark.createDataFrame([("a", d(1), 5), ("c", d(2), 1)], first.schema)):
+        more.coalesce(1).write.mode("append").parquet(source)
+    found = []
+    for per_trigger in (None, 1):
+        t = reload.Table(spark, str(tmp_path / f"t{per_trigger}"), first.schema, ("store_name", "sale_date"))
+        stream = file_stream.stream_files(spark, source, first.schema, per_trigger)
+        file_stream.ingest_available(stream, t, str(tmp_path / f"chk{per_trigger}"))
+        found.append(rows(t))
+    assert found[0] == found[1] == [("a", d(1), 1), ("a", d(1), 5), ("b", d(1), 1), ("c", d(2), 1)]
+
+
+def test_upsert_drops_emptied_slices(spark, tmp_path):
+    held = spark.createDataFrame([("a", d(1), "1", 1, "x", at(1)), ("b", d(1), "2", 1, "x", at(1))], STG)
+    t = table(spark, tmp_path, held, "store_name", "sale_date")
+    t.replace_partitions(held)
+    incremental.upsert_slices(held.filter("store_name = 'a'"), t)
+    assert [r.store_name for r in t.read().collect()] == ["a"]
+
+
+def test_failed_refresh_keeps_the_table(spark, tmp_path):
+    first = spark.createDataFrame([("a", d(1), 1), ("b", d(2), 1)], COLS)
+    t = table(spark, tmp_path, first, "day")
+    reload.load([first], t, "day")
+    with pytest.raises(ValueError, match="exactly one"):
+        reload.load([first.filter("store = 'a'"), first], t, "day", "store", full_refresh=True)
+    assert rows(t) == [("a", d(1), 1), ("b", d(2), 1)]
 
 
 def test_new_files_load_once(spark, tmp_path):
