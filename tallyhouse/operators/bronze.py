@@ -44,6 +44,13 @@ def split_balance(mixed: DataFrame, parts: dict, column: str = "_source_system")
     )
 
 
+def write_parts(parts: dict[str, DataFrame], targets: dict) -> None:
+    """Write each part to its own table, all of which must be empty."""
+    assert_empty({tag: targets[tag].read() for tag in parts})
+    for tag, part in parts.items():
+        targets[tag].replace_partitions(part)
+
+
 def assert_empty(targets: dict[str, DataFrame]) -> None:
     """Refuse to split into targets that already hold rows."""
     full = [name for name, df in targets.items() if not df.isEmpty()]

@@ -215,9 +215,9 @@ class Warehouse:
 
         return self._keep("manifest", build)
 
-    def publish(self, name: str) -> DataFrame:
-        """Pass-through read of a dimension or fact for downstream tools."""
-        return getattr(self, name)
+    def publish(self, name: str, sink: str) -> DataFrame:
+        """Write a dimension or fact below a sink folder for downstream tools; returns what was written."""
+        return write_table(getattr(self, name), f"{sink}/{name}")
 
 
 class FeedWarehouse(Warehouse):
@@ -285,6 +285,8 @@ def open_warehouse(
 ) -> Warehouse:
     """The warehouse of a data folder, built once per Spark application."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Listing a table of many store-day folders takes a few tasks a core, not one a folder.
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism))
     key = (spark.sparkContext.applicationId, sf_dir, settings)
     if key not in _open:
         _open[key] = Warehouse(spark, sf_dir, settings)

