@@ -37,8 +37,8 @@ def _local_root() -> str:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint folder.
 
-    Only a local session without the setting gets a folder of its own; a
-    machine-local path is refused on a cluster, where other hosts cannot read it.
+    Only a local session without the setting gets a folder of its own. A folder that the cluster
+    names is taken as it is; that all hosts see it is the cluster's promise.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if root:
@@ -49,5 +49,15 @@ def work_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{work_root(spark)}/tallyhouse/{label}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder, in this application's part of it, that no earlier call has used."""
+    return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_root(spark: SparkSession) -> str:
+    return f"{work_root(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete all that this application has written below the shared folder; its frames are dead then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

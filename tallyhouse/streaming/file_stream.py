@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.session import fresh_dir
-from tallyhouse.streaming.incremental import complete_slices
+from tallyhouse.streaming.incremental import STORE_DAY, complete_slices
 from tallyhouse.streaming.reload import Table
 
 BATCH = "_batch"
@@ -46,7 +46,7 @@ def ingest_available(
         bronze.replace_partitions(numbered)
         held = bronze.read()
         new = held.filter(F.col(BATCH) == number)
-        target.replace_partitions(complete_slices(new, held, list(target.partitions)))
+        target.replace_slices(complete_slices(new, held), STORE_DAY)
 
     query = (
         stream.writeStream.foreachBatch(load)

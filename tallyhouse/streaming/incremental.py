@@ -58,13 +58,10 @@ def upsert_slices(rows: DataFrame, target: Table) -> None:
 
     Store-days that the source no longer has are dropped from the target.
     """
-    gone = []
-    if target.exists():
-        held = target.folders(F.lit(True))
-        lost = held.join(settle(touched_slices(rows, list(target.partitions))), list(target.partitions), "left_anti")
-        gone = [r.folder for r in lost.select("folder").collect()]
-    target.replace_partitions(complete_slices(newer_than_target(rows, target.read()), rows))
-    target.drop_folders(gone)
+    new = touched_slices(newer_than_target(rows, target.read()))
+    lost = touched_slices(target.read()).join(touched_slices(rows), STORE_DAY, "left_anti")
+    slices = settle(new.unionByName(lost).distinct())
+    target.replace_slices(rows.join(slices, STORE_DAY, "left_semi"), STORE_DAY, slices)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

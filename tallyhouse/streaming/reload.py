@@ -54,6 +54,28 @@ class Table:
         writer = writer.partitionBy(*self.partitions)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
+    def replace_slices(self, df: DataFrame, keys: list[str], slices: DataFrame | None = None) -> None:
+        """Replace the slices (values of ``keys``) of ``df``, or the given ones; all other rows stay.
+
+        The table may be partitioned by some of the keys only, as by day for (store, day) slices:
+        then the other slices of a touched folder are written again with it. A folder that is
+        left without rows goes.
+        """
+        by = list(self.partitions)
+        if slices is None and set(by) == set(keys):
+            return self.replace_partitions(df)
+        slices = settle((df if slices is None else slices).select(*keys).distinct())
+        parts = settle(slices.select(*by).distinct())
+        kept = self.read().join(parts, by, "left_semi").join(slices, keys, "left_anti")
+        after = settle(kept.select(*self.schema.names).unionByName(df.select(*self.schema.names)))
+        empty = []
+        if self.exists():
+            held = self.folders(F.lit(True)).join(parts, by, "left_semi")
+            gone = held.join(after.select(*by).distinct(), by, "left_anti")
+            empty = [r.folder for r in gone.select("folder").collect()]
+        self.replace_partitions(after)
+        self.drop_folders(empty)
+
     def overwrite(self, df: DataFrame) -> None:
         """Replace the whole table; staged, because the old files go before the job runs."""
         rows = self._stage(df).hint("rebalance", *self.partitions)

@@ -1,12 +1,13 @@
 import pytest
 
-from tallyhouse.session import build_session
+from tallyhouse.session import build_session, clear_work
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", 8)
     yield session
+    clear_work(session)
     session.stop()
 
 
