@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from plain import SPACED, fold
+from plain import SPACED, components, fold
 from tallyhouse.llm import decontam, html_extract, id_coder, mixing, near_dedup, secret_scan, textscan, token_files, warc
 from tallyhouse.llm.registry import tokenizer_path
 
@@ -45,7 +45,7 @@ def test_unpacked_suffix_order():
     assert decontam.suffix_order(symbols).tolist() == sorted(range(501), key=lambda i: symbols[i:].tolist())
 
 
-@pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097, 20_000])
+@pytest.mark.parametrize("n", [0, 1, 2047, 2048, 2049, 20_000])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
     for ids in (rng.integers(0, 65536, n), rng.integers(0, 3, n), np.full(n, 65535), np.tile(np.arange(50), n)[:n]):
@@ -127,6 +127,14 @@ def test_page_parts():
     assert html_extract.main_blocks(page, set()) == ["T", "a b c", "x", "y"]
 
 
+def test_page_without_an_article_element():
+    page = (
+        "<body><div class='header'>Shop</div><ul class=menu><li>Home</ul><div class=content><h2>T</h2><p>x<div class=cookieNotice>c</div>"
+        "<p>y</div><div class='sidebar-left'>s</div><section id=comments><p>no</section><div class=footer>f</div></body>"
+    )
+    assert html_extract.main_blocks(page, set()) == ["T", "x", "y"]
+
+
 def test_archive_members_open_alone(spark):
     pages = spark.createDataFrame([(i, f"http://a/{i}", "x" * i * 1000) for i in range(30)], "page_id long, url string, html string")
     archives = warc.write_archives(pages)
@@ -163,3 +171,20 @@ def test_weights_meet_the_limit(spark):
         got = mixing.mixture(docs, repetition_limit=limit, target_entropy=1.0).groupBy("source").count().collect()
         used = {r.source: r["count"] / (700 if r.source == "big" else 30) for r in got}
         assert used.pop("big") == 1.0 and all(abs(u - limit) < 0.05 for u in used.values())
+
+
+def test_a_family_of_copies(spark, monkeypatch):
+    """Copies of one text, lightly and heavily edited, with blocks of few rows."""
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)
+    rng = random.Random(4)
+    words = [f"w{rng.randint(0, 400)}" for _ in range(150)]
+    texts = [" ".join(words)]
+    for _ in range(150):
+        rate = rng.choice((0.01, 0.03, 0.05, 0.1))
+        texts.append(" ".join(f"x{rng.randint(0, 9999)}" if rng.random() < rate else w for w in words))
+    texts += [" ".join(f"y{rng.randint(0, 5000)}" for _ in range(80)) + " all rights reserved under the usual terms of use" for _ in range(60)]
+    root, sizes = components(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: (root[i], sizes[i]) for i in range(len(texts))}
+    assert len(set(root)) > 62 and root.count(0) > 30

@@ -70,3 +70,20 @@ def test_tokens(steps):
 
 def test_run_is_the_last_stage(spark, steps):
     assert sorted(map(tuple, pipeline.run(spark, SF_DIR).collect())) == sorted(map(tuple, steps["token_ids"].collect()))
+
+
+def test_edges_pass_every_stage(spark, tmp_path):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, set_key string, __copies long"
+    good = " ".join(f"Word{i} the text{i * 3} of number{i * 7}" for i in range(60)) + "."
+    rows = [(1, good), (1, good), (2, good + " x"), (3, None), (4, ""), (None, good.replace("the", "a")), (5, "short"), (6, "z " * 50_000), (7, good[::-1])]
+    docs = spark.createDataFrame([(i, t, None if n % 2 else "en", None, 1, "k", n) for n, (i, t) in enumerate(rows)], kind)
+    folder = str(tmp_path / "t")
+    spark.createDataFrame([(1, "no such words here"), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = {}
+    for table in (docs, docs.limit(0)):
+        for name, stage in pipeline.STAGES[:-1]:
+            whole = stage(spark, table, folder)
+            assert whole.columns == docs.columns
+            left.setdefault(name, whole.count())
+        assert pipeline.STAGES[-1][1](spark, table, folder).count() == table.count()
+    assert left == {"quality_rules": 5, "minhash_near_dedup": 7, "benchmark_decontamination": 9, "source_mixing": 9}
