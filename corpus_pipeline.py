@@ -1,4 +1,10 @@
-"""Corpus pipeline: the stages from raw documents to token files."""
+"""Corpus pipeline: the stages from raw documents to token files.
+
+Each stage takes (spark, docs, sf_dir), works on all rows it is given and, but for the last, returns the
+columns of docs as they came, extra ones included. Defined cases, for every stage: a null text is a text
+without words; a null lang, source or doc_id is a value like any other; rows that repeat an id are rows of
+their own; an empty table gives an empty result of the same columns.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +20,46 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Texts under 50 words go, null and empty ones with them; a language with too few documents for a
+    reference is judged by the base rules only. Equal rows share their fate.
+    """
     return quality.keep_good(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that of the smallest doc_id.
+
+    Rows without words are in no group and stay, repeated or not. Of equal rows one stays. A group in
+    which no row has an id keeps one row; a null id never is the smallest.
+    """
     return near_dedup.deduplicate(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passages beyond the contamination rule."""
+    """Documents that hold no benchmark passages beyond the contamination rule.
+
+    Documents without words stay; items without words match nothing; without items all documents stay.
+    """
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and documents of small sources again, to the temperature weights."""
+    """Every document once, and documents of small sources again, to the temperature weights.
+
+    Null and empty sources are one source. Documents without words are used once. Equal rows are
+    repeated together.
+    """
     return mixing.realised(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id files of the mix; returns what they hold of each document."""
+    """Token-id files of the mix; returns what they hold of each document.
+
+    One row a document taken: a null or empty text has the end id only; null ids come first; a document
+    that was taken twice has two rows.
+    """
     return token_files.token_ids(docs, tokenizer_path())
 
 
