@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_scope: ContextVar[str] = ContextVar("work_scope", default="")
 
 
 def build_session(app: str = "tallyhouse", cpus: int | None = None) -> SparkSession:
@@ -50,14 +54,25 @@ def work_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder, in this application's part of it, that no earlier call has used."""
-    return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_root(spark, _scope.get())}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def _own_root(spark: SparkSession) -> str:
-    return f"{work_root(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+def _own_root(spark: SparkSession, scope: str = "") -> str:
+    root = f"{work_root(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+    return f"{root}/{scope}" if scope else root
 
 
-def clear_work(spark: SparkSession) -> None:
-    """Delete all that this application has written below the shared folder; its frames are dead then."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+@contextmanager
+def work_scope(scope: str) -> Iterator[None]:
+    """Folders made inside lie in a part of the work folder that can be cleared by its name."""
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def clear_work(spark: SparkSession, scope: str = "") -> None:
+    """Delete what this application has written below the shared folder, or in one scope; its frames are dead then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark, scope))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
