@@ -21,88 +21,91 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-LANES = 1024
-SLOTS = 1024
+BLOCK = 2048
+#: Blocks coded side by side: many, as each step costs the same few hundred array operations.
+LANES = 4096
+SLOTS = 512
 MAGIC = b"IDCM"
 STEP = 8
 #: Steps after which the order-0 sums are taken anew: ever farther apart.
-REFRESH = frozenset({16, 48, 128, 256, 512, 768, 1024, 1536, 2048, 3072})
-LOW_CONTEXTS = 16
-TOP, WORD = np.uint64(1 << 32), np.uint64(16)
-MASK32, MASK48 = np.uint64((1 << 32) - 1), np.uint64((1 << 48) - 1)
+REFRESH = frozenset({16, 48, 128, 256, 512, 768, 1024, 1536})
+LOW_CONTEXTS = 4
+TOP, MASK32, MASK48 = 1 << 32, (1 << 32) - 1, (1 << 48) - 1
 
 
 class _Encoder:
+    """State of 48 bits in 64-bit integers: lows, ranges, and 16-bit words written so far."""
+
     def __init__(self, lanes: int, block: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, MASK48, np.uint64)
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, MASK48, np.int64)
         self.width = block * 3 + 8
         self.words = np.zeros(lanes * self.width, np.int32)
         self.at = np.arange(lanes) * self.width + 1
 
     def code(self, lanes, start, size, total) -> None:
-        span = self.range[lanes]
-        unit = span // total.astype(np.uint64)
-        low = self.low[lanes] + start.astype(np.uint64) * unit
-        span = unit * size.astype(np.uint64)
-        at = self.at[lanes]
-        over = np.flatnonzero(low > MASK48)
-        if len(over):
-            self.words[at[over] - 1] += 1
+        unit = self.range.take(lanes, mode="clip") // total
+        low = self.low.take(lanes, mode="clip") + start * unit
+        span = unit * size
+        if (over := low > MASK48).any():
+            over = np.flatnonzero(over)
+            self.words[self.at[lanes[over]] - 1] += 1
             low &= MASK48
         small = np.flatnonzero(span < TOP)
         if len(small):
-            part = low[small]
-            self.words[at[small]] = (part >> np.uint64(32)).astype(np.int32)
-            low[small] = (part & MASK32) << WORD
-            span[small] <<= WORD
-            at[small] += 1
-            self.at[lanes] = at
+            part = low.take(small)
+            mine = lanes.take(small)
+            at = self.at.take(mine)
+            self.words[at] = part >> 32
+            low[small] = (part & MASK32) << 16
+            span[small] <<= 16
+            self.at[mine] = at + 1
         self.low[lanes], self.range[lanes] = low, span
 
     def finish(self) -> list[bytes]:
         """The words of each lane; the first one holds a last carry and is dropped."""
         for _ in range(3):
-            self.words[self.at] = (self.low >> np.uint64(32)).astype(np.int32)
-            self.low = (self.low & MASK32) << WORD
+            self.words[self.at] = self.low >> 32
+            self.low = (self.low & MASK32) << 16
             self.at += 1
         table = self.words.reshape(-1, self.width)
-        for i in range(int((self.at - np.arange(len(self.at)) * self.width).max(initial=1)) - 1, 0, -1):
+        ends = self.at - np.arange(len(self.at)) * self.width
+        for i in range(int(ends.max(initial=1)) - 1, 0, -1):
             carry = table[:, i] >> 16
             if carry.any():
                 table[:, i - 1] += carry
                 table[:, i] &= 0xFFFF
-        ends = self.at - np.arange(len(self.at)) * self.width
         return [table[k, 1:e].astype(">u2").tobytes() for k, e in enumerate(ends)]
 
 
 class _Decoder:
     def __init__(self, blocks: list[bytes]):
         sizes = np.array([len(b) // 2 for b in blocks], np.int64)
-        self.words = np.zeros(int(sizes.sum()) + 4, np.uint64)
+        self.words = np.zeros(int(sizes.sum()) + 4, np.int64)
         self.words[: int(sizes.sum())] = np.frombuffer(b"".join(blocks), ">u2")
         self.at = np.cumsum(sizes) - sizes
-        self.range = np.full(len(blocks), MASK48, np.uint64)
-        self.value = np.zeros(len(blocks), np.uint64)
+        self.range = np.full(len(blocks), MASK48, np.int64)
+        self.value = np.zeros(len(blocks), np.int64)
         for _ in range(3):
-            self.value = (self.value << WORD) | self.words[self.at]
+            self.value = (self.value << 16) | self.words[self.at]
             self.at += 1
 
     def target(self, lanes, total):
-        self.unit = self.range[lanes] // total.astype(np.uint64)
-        return np.minimum(self.value[lanes] // self.unit, total.astype(np.uint64) - np.uint64(1)).astype(np.int64)
+        self.unit = self.range.take(lanes, mode="clip") // total
+        self.held = self.value.take(lanes, mode="clip")
+        return np.minimum(self.held // self.unit, total - 1)
 
     def code(self, lanes, start, size) -> None:
-        value = self.value[lanes] - start.astype(np.uint64) * self.unit
-        span = self.unit * size.astype(np.uint64)
+        """Right after target() of the same lanes."""
+        value = self.held - start * self.unit
+        span = self.unit * size
         small = np.flatnonzero(span < TOP)
         if len(small):
-            at = self.at[lanes]
-            value[small] = (value[small] << WORD) | self.words[at[small]]
-            span[small] <<= WORD
-            at[small] += 1
-            self.at[lanes] = at
+            mine = lanes.take(small)
+            at = self.at.take(mine)
+            value[small] = (value.take(small) << 16) | self.words.take(at, mode="clip")
+            span[small] <<= 16
+            self.at[mine] = at + 1
         self.value[lanes], self.range[lanes] = value, span
 
 
@@ -118,15 +121,20 @@ class _Frequencies:
         np.cumsum(self.counts.reshape(-1, 256), axis=1, out=self.sums.reshape(-1, 257)[:, 1:])
 
     def range_of(self, row, byte):
-        base = row * 257
-        start = self.sums.take(base + byte)
-        return start, self.sums.take(base + byte + 1) - start, self.sums.take(base + 256)
+        place = row * 257
+        total = self.sums.take(place + 256, mode="clip")
+        place += byte
+        start = self.sums.take(place, mode="clip")
+        place += 1
+        return start, self.sums.take(place, mode="clip") - start, total
 
     def byte_at(self, row, target):
-        base, byte = row * 257, np.zeros(len(row), np.int64)
+        base = row * 257
+        place = base.copy()
         for step in (128, 64, 32, 16, 8, 4, 2, 1):
-            byte += step * (self.sums.take(base + byte + step) <= target)
-        return byte
+            place += step
+            place -= step * (self.sums.take(place, mode="clip") > target)
+        return place - base
 
     def add(self, row, byte) -> None:
         self.counts[row * 256 + byte] += STEP
@@ -137,8 +145,9 @@ class _Model:
         self.lanes = np.arange(lanes)
         self.one = np.full(lanes * SLOTS, -8, np.int32)
         self.two = np.full(lanes * SLOTS, -8, np.int32)
-        self.outcomes = [np.full((lanes * n, 3), 0.4) for n in (16, 8, 9)]
-        self.weights = np.full((lanes, 3), 1 / 3)
+        # for each expert, how often each of the three outcomes followed each of its contexts
+        self.outcomes = [[np.full(lanes * n, 0.4) for _ in range(3)] for n in (16, 8, 9)]
+        self.weights = [np.full(lanes, 1 / 3) for _ in range(3)]
         self.last, self.before, self.recent = (np.zeros(lanes, np.int64) for _ in range(3))
         self.high = _Frequencies(1 + 512 // (1 + np.arange(256)), lanes)
         self.low = _Frequencies(np.ones(256), lanes * LOW_CONTEXTS)
@@ -146,30 +155,32 @@ class _Model:
     def predict(self, m: int):
         """Slots, both predictions and the frequencies of the three outcomes for the first m lanes."""
         last, before, lanes = self.last[:m], self.before[:m], self.lanes[:m]
-        self.slot1 = lanes * SLOTS + ((last * 40503 >> 4) & (SLOTS - 1))
-        self.slot2 = lanes * SLOTS + (((last * 51749 + before * 38183) >> 5) & (SLOTS - 1))
-        one, two = self.one.take(self.slot1), self.two.take(self.slot2)
-        self.id1, self.id2 = one >> 3, two >> 3
-        self.contexts = (lanes * 16 + (two & 7) * 2 + (self.id1 == self.id2), lanes * 8 + (one & 7), lanes * 9 + self.recent[:m])
-        mixed = 0.0
+        home = lanes * SLOTS
+        self.slot1 = home + ((last * 40503 >> 4) & (SLOTS - 1))
+        self.slot2 = home + (((last * 51749 + before * 38183) >> 5) & (SLOTS - 1))
+        one, two = self.one.take(self.slot1, mode="clip"), self.two.take(self.slot2, mode="clip")
+        self.id1, self.id2, self.sure1, self.sure2 = one >> 3, two >> 3, one & 7, two & 7
+        self.contexts = (lanes * 16 + self.sure2 * 2 + (self.id1 == self.id2), lanes * 8 + self.sure1, lanes * 9 + self.recent[:m])
         self.estimates = []
-        for k in range(3):
-            seen = self.outcomes[k][self.contexts[k]]
-            seen /= (seen[:, 0] + seen[:, 1] + seen[:, 2])[:, None]
-            self.estimates.append(seen)
-            mixed = mixed + seen * self.weights[:m, k : k + 1]
-        return (mixed * 16000).astype(np.int64) + 1
+        for table, context in zip(self.outcomes, self.contexts):
+            a, b, c = (side.take(context, mode="clip") for side in table)
+            whole = a + b + c
+            self.estimates.append((a / whole, b / whole, c / whole))
+        (w0, w1, w2), (x, y, z) = (w[:m] for w in self.weights), self.estimates
+        return [((x[k] * w0 + y[k] * w1 + z[k] * w2) * 16000).astype(np.int64) + 1 for k in range(3)]
 
     def update(self, m: int, ids, outcome) -> None:
-        lanes = self.lanes[:m]
-        weights = self.weights[:m]
-        for k in range(3):
-            self.outcomes[k][self.contexts[k], outcome] += 1
-            weights[:, k] *= self.estimates[k][lanes, outcome]
-        weights *= 0.94 / (weights[:, 0] + weights[:, 1] + weights[:, 2])[:, None]
-        weights += 0.02
-        for table, slot, guess in ((self.one, self.slot1, self.id1), (self.two, self.slot2, self.id2)):
-            sure = table.take(slot) & 7
+        is0, is1 = outcome == 0, outcome == 1
+        weights = [w[:m] for w in self.weights]
+        for weight, table, context, (a, b, c) in zip(weights, self.outcomes, self.contexts, self.estimates):
+            for side, hit in zip(table, (is0, is1, ~(is0 | is1))):
+                side[context[hit]] += 1
+            weight *= np.where(is0, a, np.where(is1, b, c))
+        whole = 0.94 / (weights[0] + weights[1] + weights[2])
+        for weight in weights:
+            weight *= whole
+            weight += 0.02
+        for table, slot, guess, sure in ((self.one, self.slot1, self.id1, self.sure1), (self.two, self.slot2, self.id2, self.sure2)):
             hit = guess == ids
             kept = hit | (sure > 2)
             table[slot] = np.where(kept, guess, ids) * 8 + np.where(hit, np.minimum(sure + 1, 7), np.where(kept, sure >> 1, 1))
@@ -192,8 +203,10 @@ def encode_blocks(table: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         lanes, ids = model.lanes[:m], table[:m, step].astype(np.int64)
         chances = model.predict(m)
         outcome = np.where(ids == model.id2, 0, np.where(ids == model.id1, 1, 2))
-        start = np.where(outcome > 0, chances[:, 0], 0) + np.where(outcome > 1, chances[:, 1], 0)
-        coder.code(lanes, start, chances[lanes, outcome], chances[:, 0] + chances[:, 1] + chances[:, 2])
+        first, second = chances[0], chances[0] + chances[1]
+        start = np.where(outcome == 0, 0, np.where(outcome == 1, first, second))
+        size = np.where(outcome == 0, first, np.where(outcome == 1, chances[1], chances[2]))
+        coder.code(lanes, start, size, second + chances[2])
         rest = np.flatnonzero(outcome == 2)
         if len(rest):
             high, low = ids[rest] >> 8, ids[rest] & 255
@@ -214,11 +227,11 @@ def decode_blocks(blocks: list[bytes], lengths: np.ndarray) -> np.ndarray:
         model.refresh(step)
         m = int(np.searchsorted(-lengths, -step, "left"))
         lanes, chances = model.lanes[:m], model.predict(m)
-        first, second = chances[:, 0], chances[:, 0] + chances[:, 1]
-        target = coder.target(lanes, second + chances[:, 2])
+        first, second = chances[0], chances[0] + chances[1]
+        target = coder.target(lanes, second + chances[2])
         outcome = (target >= first).astype(np.int64) + (target >= second)
-        start = np.where(outcome > 0, first, 0) + np.where(outcome > 1, chances[:, 1], 0)
-        coder.code(lanes, start, chances[lanes, outcome])
+        start = np.where(outcome == 0, 0, np.where(outcome == 1, first, second))
+        coder.code(lanes, start, np.where(outcome == 0, first, np.where(outcome == 1, chances[1], chances[2])))
         ids = np.where(outcome == 0, model.id2, model.id1).astype(np.int64)
         rest = np.flatnonzero(outcome == 2)
         if len(rest):
