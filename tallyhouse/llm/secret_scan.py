@@ -301,9 +301,15 @@ def training_windows(texts: list[str], count: int = TRAIN_WINDOWS, seed: int = S
 
 
 def trained(docs: DataFrame) -> Field:
-    """The field fitted on windows of the sampled documents."""
-    sample = docs.select(F.substring(F.col("text").cast("string"), 1, 4000).alias("t"), F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
-    texts = [r.t for r in sample.filter("t is not null").orderBy("h", "t").limit(TRAIN_DOCS).collect()]
+    """The field fitted on windows of the sampled documents: those with the smallest hashes of their ids.
+
+    The hashes alone are ranked first, so only the sample's texts leave their tasks.
+    """
+    hashed = docs.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
+    least = hashed.select("h").orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
+    sample = hashed.filter((F.col("h") <= least) & F.col("text").isNotNull())
+    rows = sample.select("h", F.substring(F.col("text").cast("string"), 1, 4000).alias("t")).orderBy("h", "t").limit(TRAIN_DOCS)
+    texts = [r.t for r in rows.collect()]
     features, labels, sizes = training_windows(texts)
     return fit(features, labels, sizes)
 
