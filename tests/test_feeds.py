@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -170,6 +171,32 @@ def test_orders_flatten(spark, tmp_path):
     assert len(rows.columns) == 24
 
 
+def test_one_day_of_orders_opens_one_folder(spark, tmp_path):
+    land(tmp_path, "A", "2026-05-27", payload(order("1", entry("a"))))
+    land(tmp_path, "A", "2026-05-28", payload(order("2", entry("b"))))
+    one = orders_xml.read_orders(spark, str(tmp_path)).filter(F.col("business_date") == dt.date(2026, 5, 28))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*date#\d+ = 2026-05-28", plan)
+    assert [r.Id for r in one.collect()] == ["2"]
+
+
+def test_one_failed_payload_spares_the_others(spark, tmp_path):
+    land(tmp_path, "A", "2026-05-27", payload(order("1", entry("a"))))
+    land(tmp_path, "B", "2026-05-27", payload(order("2", entry("b")), code="5", message="no access"))
+    good, failed = orders_xml.read_good_orders(spark, str(tmp_path))
+    assert [r.Id for r in good.collect()] == ["1"]
+    with pytest.raises(ValueError, match="B 2026-05-27: ResultCode=5: no access"):
+        orders_xml.raise_failures(failed)
+
+
+def test_repeated_order_ids_take_the_last_closed(spark):
+    cols = "store_name string, business_date date, order_id string, order_number string, closed_time string, opened_time string, tax decimal(18,2), employee_id string, destination_id string"
+    day = dt.date(2026, 1, 1)
+    orders = spark.createDataFrame([("A", day, "1", "7", t, None, None, who, "1") for t, who in (("09:00", "x"), ("10:00", "y"), ("08:00", "z"))], cols)
+    entries = spark.createDataFrame([("A", day, "1", "e", "7", None, None, None, None, False, False)], "store_name string, business_date date, order_id string, entry_id string, item_id string, revenue_center_id string, net_sales decimal(18,2), gross_sales decimal(18,2), display_price decimal(18,2), is_voided boolean, is_deleted boolean")
+    assert orders_xml.entries_to_bronze(orders, entries, F.lit(LOADED)).head()["Employee Name"] == "y"
+
+
 def test_failed_payload_is_an_error(spark, tmp_path):
     land(tmp_path, "A", "2026-05-27", payload("", code="5", message="no access"))
     with pytest.raises(ValueError, match="ResultCode=5: no access"):

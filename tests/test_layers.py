@@ -288,3 +288,26 @@ def test_coverage_finds_a_dropped_day(spark, bronze):
     late = bronze.unionByName(spark.createDataFrame([a(Date=D2), a(Date=dt.date(2025, 1, 9), Voided=True)], BRONZE_A))
     assert checks.coverage_a(bronze, stg).count() == 0
     assert [r.sale_date for r in checks.coverage_a(late, stg).collect()] == [D2]
+
+
+def test_latest_month_opens_one_partition(spark):
+    from tallyhouse.plans import dashboard
+    from tallyhouse.plans.warehouse import open_warehouse, written_months
+
+    w = open_warehouse(spark, "/root/testdata/sf0.001")
+    months = written_months(w.fact_order)
+    assert months == sorted(months) and months[-1] == w.stg_orders.agg(F.max("sale_month")).first()[0]
+    plan = dashboard.in_latest_month(w.fact_order)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and f"= {months[-1]}" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert w.as_of == w.stg_orders.agg(F.max("sale_date")).first()[0]
+
+
+def test_no_line_is_lost_between_tables_and_silver(spark):
+    from tallyhouse.plans.warehouse import open_warehouse
+
+    folder = "/root/testdata/sf0.001"
+    w = open_warehouse(spark, folder)
+    assert w.lines.count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    dates = w.dim_date.agg(F.min("date"), F.max("date")).first()
+    sales = w.stg_orders.agg(F.min("sale_date"), F.max("sale_date")).first()
+    assert dates[0] <= sales[0] and sales[1] <= dates[1]
