@@ -36,6 +36,8 @@ MIN_WORDS = 6
 CHUNK = 4 << 20
 #: Documents whose lines emit variants may be broadcast by id up to this many (about 40 bytes each and 8 a line).
 BROADCAST_LINES = 400_000
+#: Rows of two numbers (8 MB) that may be broadcast to find their many partners.
+BROADCAST_KEYS = 500_000
 LATE = (1 << 63) - 1
 
 
@@ -91,13 +93,15 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """line_hash, words and keys of the wanted lines of each document (text, wanted)."""
+    """Number, words and keys of the wanted lines of each document (text, hashes and numbers of the lines)."""
     for batch in chunks_of(batches, "text", CHUNK):
         lines = Lines(batch.column(0))
-        wanted = batch.column(1)
-        flat, bounds = wanted.flatten().to_numpy(zero_copy_only=False), wanted.offsets.to_numpy() - wanted.offsets[0].as_py()
-        own = lines.hash(lines.first, lines.last).view(np.int64)
-        use = np.array([i for i in range(len(own)) if lines.size[i] >= MIN_WORDS and own[i] in flat[bounds[lines.doc[i]] : bounds[lines.doc[i] + 1]]], np.int64)
+        wanted = [dict(zip(h, r)) for h, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        own = lines.hash(lines.first, lines.last).view(np.int64).tolist()
+        long_enough = (lines.size >= MIN_WORDS).tolist()
+        named = [(i, wanted[d].get(own[i])) for i, d in enumerate(lines.doc.tolist()) if long_enough[i]]
+        use = np.array([i for i, r in named if r is not None], np.int64)
+        rank = [r for _, r in named if r is not None]
         a, b, n = lines.first[use], lines.last[use], lines.size[use]
         at = np.concatenate([[0], np.cumsum(n)])
         row = np.repeat(np.arange(len(use)), n)
@@ -113,11 +117,11 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(own[use]),
+                pa.array(rank, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(lines.words[gone] if len(gone) else np.zeros(0, np.uint64))),
                 pa.ListArray.from_arrays(pa.array(sizes), _signed(np.concatenate(keys) if keys else np.zeros(0, np.uint64))),
             ],
-            names=["line_hash", "words", "keys"],
+            names=["rank", "words", "keys"],
         )
 
 
@@ -137,6 +141,11 @@ def _place(doc: str = "doc_id", line: str = "line") -> Column:
     return F.struct(F.coalesce(F.col(doc), F.lit(LATE)).alias("doc"), F.col(line).alias("line"))
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Written keys, as a broadcast while they are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def surveyed(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return settle(rows.mapInArrow(_survey, "doc_id long, line long, n_words long, line_hash long, halves array<long>"))
@@ -147,27 +156,31 @@ def near_firsts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     distinct = settle(lines.groupBy("line_hash").agg(F.min(_place()).alias("at"), F.first("halves").alias("halves")))
     halves = distinct.select("line_hash", F.explode("halves").alias("half"))
     paired = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("half").alias("shared"))
-    alive = settle(halves.join(settle(paired), F.col("half") == F.col("shared"), "left_semi").select("line_hash").distinct())
-    alive = settle(alive.join(distinct.select("line_hash", "at"), "line_hash"))
+    alive = settle(halves.join(_few(settle(paired)), F.col("half") == F.col("shared"), "left_semi").select("line_hash").distinct())
+    # numbered in the order of their places: a key's row is 16 bytes, and the earliest is the least number
+    alive = alive.join(distinct.select("line_hash", "at"), "line_hash").repartitionByRange("at", "line_hash")
+    alive = settle(alive.sortWithinPartitions("at", "line_hash").withColumn("rank", F.monotonically_increasing_id()))
     if alive.isEmpty():
         return alive.select("line_hash", F.col("line_hash").alias("first_hash"))
-    wanted = alive.groupBy(F.col("at.doc").alias("wanted_doc")).agg(F.collect_list("line_hash").alias("wanted"))
+    wanted = alive.groupBy(F.col("at.doc").alias("wanted_doc")).agg(F.collect_list(F.struct("line_hash", "rank")).alias("wanted"))
+    wanted = wanted.select("wanted_doc", F.col("wanted.line_hash").alias("hashes"), F.col("wanted.rank").alias("ranks"))
     if alive.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
     text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc"), F.col("text").cast("string").alias("text"))
-    found = text.join(wanted, F.col("doc") == F.col("wanted_doc")).select("text", "wanted")
-    found = settle(found.mapInArrow(_variants, "line_hash long, words array<long>, keys array<long>"))
-    keyed = found.select("line_hash", F.explode("keys").alias("key")).join(alive, "line_hash").select("key", "line_hash", "at")
-    keyed = settle(keyed)
-    earliest = keyed.groupBy("key").agg(F.min(F.struct("at", "line_hash")).alias("first"), F.count(F.lit(1)).alias("n"))
-    earliest = settle(earliest.filter("n > 1").select(F.col("key").alias("group"), F.col("first.line_hash").alias("first_hash"), F.col("first.at").alias("first_at")))
-    later = keyed.join(earliest, (F.col("key") == F.col("group")) & (F.col("line_hash") != F.col("first_hash")))
-    pairs = settle(later.groupBy("line_hash").agg(F.min(F.struct("first_at", "first_hash")).alias("first")).select("line_hash", F.col("first.first_hash").alias("first_hash")))
-    words = found.groupBy("line_hash").agg(F.first("words").alias("words"))
-    words = settle(words)
-    mine, theirs = words.toDF("h1", "mine"), words.toDF("h2", "theirs")
-    checked = pairs.join(mine, F.col("line_hash") == F.col("h1")).join(theirs, F.col("first_hash") == F.col("h2"))
-    return settle(checked.filter(_one_edit("mine", "theirs")).select("line_hash", "first_hash"))
+    found = text.join(wanted, F.col("doc") == F.col("wanted_doc")).select("text", "hashes", "ranks")
+    found = settle(found.mapInArrow(_variants, "rank long, words array<long>, keys array<long>"))
+    keyed = found.select("rank", F.explode("keys").alias("key"))
+    earliest = keyed.groupBy("key").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    earliest = settle(earliest.filter("first < last").select(F.col("key").alias("group"), "first"))
+    later = keyed.join(_few(earliest), (F.col("key") == F.col("group")) & (F.col("rank") > F.col("first")))
+    pairs = settle(later.groupBy("rank").agg(F.min("first").alias("first")))
+    involved = pairs.select("rank").union(pairs.select("first")).distinct()
+    words = settle(found.join(_few(settle(involved)), "rank", "left_semi").groupBy("rank").agg(F.first("words").alias("words")))
+    mine, theirs = words.toDF("r1", "mine"), words.toDF("r2", "theirs")
+    checked = pairs.join(mine, F.col("rank") == F.col("r1")).join(theirs, F.col("first") == F.col("r2"))
+    checked = settle(checked.filter(_one_edit("mine", "theirs")).select("rank", "first"))
+    firsts = alive.select(F.col("rank").alias("r3"), F.col("line_hash").alias("first_hash"))
+    return settle(checked.join(alive.select("rank", "line_hash"), "rank").join(firsts, F.col("first") == F.col("r3")).select("line_hash", "first_hash"))
 
 
 def line_verdicts(docs: DataFrame) -> DataFrame:
