@@ -4,21 +4,41 @@ Each stage takes (spark, docs, sf_dir), works on all rows it is given and, but f
 columns of docs as they came, extra ones included. Defined cases, for every stage: a null text is a text
 without words; a null lang, source or doc_id is a value like any other; rows that repeat an id are rows of
 their own; an empty table gives an empty result of the same columns.
+
+A stage's result must be written before the next stage is called, as run() does: a stage begins by
+deleting the intermediate files of the one before it in this application.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import decontam, mixing, near_dedup, quality, token_files
 from tallyhouse.llm.registry import tokenizer_path
+from tallyhouse.session import clear_work, work_scope
 from tallyhouse.storage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+SCOPE = "pipeline-stage"
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage in a work folder of its own, which the stage before has left."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear_work(spark, SCOPE)
+        with work_scope(SCOPE):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@_tidy
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep.
 
@@ -28,6 +48,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+@_tidy
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest doc_id.
 
@@ -37,6 +58,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.deduplicate(docs)
 
 
+@_tidy
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passages beyond the contamination rule.
 
@@ -45,6 +67,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_tidy
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and documents of small sources again, to the temperature weights.
 
@@ -54,6 +77,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.realised(docs)
 
 
+@_tidy
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files of the mix; returns what they hold of each document.
 
