@@ -49,7 +49,7 @@ BLOCK_ROWS, BLOCK_VALUES = 1024, 1 << 20
 COLUMNS = 4096
 #: Rows of 16 bytes that may be broadcast: 8 MB at most.
 BROADCAST_ROWS = 500_000
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 SET_KEY, KEPT_ID, KEPT_KEY = "__set_key", "__kept_id", "__kept_key"
 
 
@@ -369,6 +369,8 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, k: int = SKETCH) -> DataFra
     twice = settle(result.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").select("doc_id"))
     keep = result.filter(names).select("doc_id", "set_key", "comp")
     single = settle(keep.join(twice, "doc_id", "left_anti").filter("doc_id is not null").select(F.col("doc_id").alias(KEPT_ID)))
+    if single.count() <= BROADCAST_ROWS:
+        single = F.broadcast(single)
     plain = docs.join(single, F.col("doc_id") == F.col(KEPT_ID), "left_semi")
     if twice.isEmpty():
         return plain
