@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tallyhouse.llm.textscan import ALNUM, Words, chunks_of, scan_words, text_buffer
 
 WINDOW = 13
-SHARD = 8 << 20
+SHARD = 4 << 20
 BLOCK = 200_000
 SAMPLE = 16
 

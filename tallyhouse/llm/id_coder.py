@@ -23,7 +23,7 @@ import numpy as np
 
 BLOCK = 2048
 #: Blocks coded side by side: many, as each step costs the same few hundred array operations.
-LANES = 4096
+LANES = 2048
 SLOTS = 512
 MAGIC = b"IDCM"
 STEP = 8

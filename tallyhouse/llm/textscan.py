@@ -8,6 +8,7 @@ byte table is as good as a code point table.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes scanned at once; working arrays are 8 bytes a text byte.
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 _P = 0x9E3779B97F4A7C15 | 1
 
@@ -168,3 +169,13 @@ def chunks_of(batches, text: str, limit: int) -> Iterator[pa.RecordBatch]:
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the machine: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass

@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import files, id_coder
-from tallyhouse.llm.textscan import _powers, chunks_of, mix, process_cache, text_buffer
+from tallyhouse.llm.textscan import PIECE, _powers, chunks_of, mix, process_cache, text_buffer
 from tallyhouse.session import fresh_dir
 from tallyhouse.storage import settle
 
 END_ID = 2
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Distinct pieces a task remembers before it starts anew.
-MEMORY = 400_000
+MEMORY = 150_000
 FOOTER = b"IDCF"
 
 
@@ -80,7 +80,7 @@ class Pieces:
         ids, sizes = [], []
         at = 0
         while at < len(starts):
-            to = max(int(np.searchsorted(ends, starts[at] + CHUNK, "right")), at + 1)
+            to = max(int(np.searchsorted(ends, starts[at] + PIECE, "right")), at + 1)
             part, size = self._window(data, starts[at:to], ends[at:to])
             ids.append(part)
             sizes.append(size)
