@@ -9,12 +9,13 @@ within one edit of it.
 1. Equal lines collapse to one row each (64-bit fingerprint, earliest place).
 2. Two lines within one edit agree on the first or on the second half of the shorter one. Lines
    that share no half with another line have no partner and go no further.
-3. The others emit all variants with up to one word left out as hashed keys: `replaced` keys hold
-   the place of the missing word, so that equal keys mean one replaced word; `inserted` keys do
-   not, and join a whole line with the variants of longer ones.
-4. All members of a key are within one edit of the earliest of their key's group, so a group is
-   reduced to that one and never expanded into pairs. The word sequences of each line and of
-   the earliest line found for it are compared before it counts.
+3. The others emit all variants with one word left out as hashed keys: `replaced` keys hold the place
+   of the missing word, so that equal keys mean one replaced word, and all members of a key are within
+   one edit of each other; `left` keys do not, and only join a whole line with the variants of
+   longer ones (two variants may each lack another word).
+4. A group is never expanded into pairs: a replaced key offers its earliest line, a whole line is
+   offered to all its longer ones, and the earliest longer one to the whole line. The word sequences of all
+   lines so offered are compared, and the earliest that holds counts.
 
 Defined cases: a null text has no lines; a null doc_id is later than any other; equal places (rows
 that repeat a doc_id and line) are told apart by their words; an empty table gives an empty result.
@@ -93,7 +94,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number, words and keys of the wanted lines of each document (text, hashes and numbers of the lines)."""
+    """Number, words, keys and own key of the wanted lines of each document (text, hashes and numbers of the lines)."""
     for batch in chunks_of(batches, "text", CHUNK):
         lines = Lines(batch.column(0))
         wanted = [dict(zip(h, r)) for h, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
@@ -113,27 +114,31 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replaced = mix(left + (place + 1).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
         whole = (lines.sums[b] - lines.sums[a]) * lines.inverse[a]
         whole = mix(whole + n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        keys = [np.unique(np.concatenate([replaced[at[i] : at[i + 1]], left[at[i] : at[i + 1]], whole[i : i + 1]])) for i in range(len(use))]
-        sizes = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        lefts = [np.unique(left[at[i] : at[i + 1]]) for i in range(len(use))]
+        sizes = np.cumsum([0, *map(len, lefts)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(rank, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(lines.words[gone] if len(gone) else np.zeros(0, np.uint64))),
-                pa.ListArray.from_arrays(pa.array(sizes), _signed(np.concatenate(keys) if keys else np.zeros(0, np.uint64))),
+                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(replaced)),
+                pa.ListArray.from_arrays(pa.array(sizes), _signed(np.concatenate(lefts) if lefts else np.zeros(0, np.uint64))),
+                _signed(whole),
             ],
-            names=["rank", "words", "keys"],
+            names=["rank", "words", "replaced", "left", "whole"],
         )
 
 
+def _one_left_out(a: str, b: str) -> str:
+    """Whether b is a without one word: behind the first place where they differ, b goes on as a does one later."""
+    place = f"cast(array_position(zip_with({a}, {b}, (x, y) -> x = y), false) as int)"
+    return f"({place} = 0 or slice({a}, greatest({place}, 1) + 1, size({a})) = slice({b}, greatest({place}, 1), size({a})))"
+
+
 def _one_edit(a: str, b: str) -> Column:
     """Whether two word arrays differ by one replaced, inserted or missing word."""
     return F.expr(
         f"""case when size({a}) = size({b}) then aggregate(zip_with({a}, {b}, (x, y) -> if(x = y, 0, 1)), 0, (s, d) -> s + d) = 1
-        when abs(size({a}) - size({b})) = 1 then exists(sequence(1, greatest(size({a}), size({b}))), i ->
-            if(size({a}) > size({b}),
-               concat(slice({a}, 1, i - 1), slice({a}, i + 1, size({a}))) = {b},
-               concat(slice({b}, 1, i - 1), slice({b}, i + 1, size({b}))) = {a}))
-        else false end"""
+        when size({a}) - size({b}) = 1 then {_one_left_out(a, b)} when size({b}) - size({a}) = 1 then {_one_left_out(b, a)} else false end"""
     )
 
 
@@ -168,17 +173,24 @@ def near_firsts(docs: DataFrame, lines: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
     text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATE)).alias("doc"), F.col("text").cast("string").alias("text"))
     found = text.join(wanted, F.col("doc") == F.col("wanted_doc")).select("text", "hashes", "ranks")
-    found = settle(found.mapInArrow(_variants, "rank long, words array<long>, keys array<long>"))
-    keyed = found.select("rank", F.explode("keys").alias("key"))
+    found = settle(found.mapInArrow(_variants, "rank long, words array<long>, replaced array<long>, left array<long>, whole long"))
+    keyed = found.select("rank", F.explode("replaced").alias("key"))
     earliest = keyed.groupBy("key").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
     earliest = settle(earliest.filter("first < last").select(F.col("key").alias("group"), "first"))
     later = keyed.join(_few(earliest), (F.col("key") == F.col("group")) & (F.col("rank") > F.col("first")))
-    pairs = settle(later.groupBy("rank").agg(F.min("first").alias("first")))
+    variants = found.select("rank", F.explode("left").alias("key"))
+    ends = variants.select("key", F.col("rank").alias("longer"), F.lit(None).cast("long").alias("whole"))
+    ends = ends.union(found.select(F.col("whole").alias("key"), F.lit(None).cast("long"), F.col("rank")))
+    met = ends.groupBy("key").agg(F.min("longer").alias("longer"), F.min("whole").alias("whole"))
+    met = settle(met.filter("longer is not null and whole is not null").withColumnRenamed("key", "group"))
+    longer = variants.join(_few(met.select("group", "whole")), (F.col("key") == F.col("group")) & (F.col("rank") > F.col("whole")))
+    pairs = later.select("rank", "first").union(longer.select("rank", "whole")).union(met.filter("longer < whole").select("whole", "longer"))
+    pairs = settle(pairs.distinct())
     involved = pairs.select("rank").union(pairs.select("first")).distinct()
     words = settle(found.join(_few(settle(involved)), "rank", "left_semi").groupBy("rank").agg(F.first("words").alias("words")))
     mine, theirs = words.toDF("r1", "mine"), words.toDF("r2", "theirs")
     checked = pairs.join(mine, F.col("rank") == F.col("r1")).join(theirs, F.col("first") == F.col("r2"))
-    checked = settle(checked.filter(_one_edit("mine", "theirs")).select("rank", "first"))
+    checked = settle(checked.filter(_one_edit("mine", "theirs")).groupBy("rank").agg(F.min("first").alias("first")))
     firsts = alive.select(F.col("rank").alias("r3"), F.col("line_hash").alias("first_hash"))
     return settle(checked.join(alive.select("rank", "line_hash"), "rank").join(firsts, F.col("first") == F.col("r3")).select("line_hash", "first_hash"))
 

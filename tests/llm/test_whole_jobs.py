@@ -1,8 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import quality
+from plain import line_verdicts
+from tallyhouse.llm import line_dedup, quality
 
 
 def test_word_rule_rejects_alone(spark):
@@ -18,3 +21,22 @@ def test_word_rule_rejects_alone(spark):
     assert {212, 189, 811, 845, 233, 982, 981} <= {r.doc_id for r in salad} and not any(r.kept for r in salad)
     good = [r for r in found if r.quality == 1]
     assert len(good) > 300 and all(r.kept for r in good)
+
+
+def verdicts(found):
+    return {(r.doc_id, r.line): (r.verdict, None if r.of_line is None else (r.of_doc, r.of_line)) for r in found.collect()}
+
+
+def test_shifted_lines(spark):
+    """Lines that share a key with one that is two edits away still find their partner."""
+    rng = random.Random(5)
+    rows = [(1, "a b c d e f g"), (2, "b c d e f g"), (3, "b c d e f g h"), (4, "a b c d e f g h")]
+    for i in range(40):
+        words = [f"w{rng.randint(0, 3)}" for _ in range(40)]
+        starts = [(rng.randint(0, 6), rng.randint(6, 9)) for _ in range(12)]
+        lines = [" ".join(words[a : a + n]) for a, n in starts]
+        rows.append((10 + i, "\n".join(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = verdicts(line_dedup.line_verdicts(docs))
+    assert got[3, 0] == ("near", (2, 0))
+    assert got == line_verdicts(rows, line_dedup.MIN_WORDS)
