@@ -78,6 +78,11 @@ def shingle_sets(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.n
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), bounds
 
 
+def _signed(values: np.ndarray) -> pa.Array:
+    """Fingerprints as signed longs of the same order: their top bit is flipped."""
+    return pa.array((values ^ np.uint64(1 << 63)).view(np.int64))
+
+
 def _key(values: np.ndarray) -> bytes | None:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
 
@@ -96,7 +101,7 @@ def _sketches(width: int, k: int):
                     batch.column(0),
                     pa.array(sizes),
                     pa.array(keys, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(at), pa.array(values[pick].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(at), _signed(values[pick])),
                 ],
                 names=["doc_id", "n_shingles", "set_key", "sketch"],
             )
@@ -115,7 +120,7 @@ def _sets(width: int):
         for batch in chunks_of(batches, "text", CHUNK):
             values, bounds = shingle_sets(batch.column(0), width)
             keys = [_key(values[bounds[i] : bounds[i + 1]]) for i in range(len(bounds) - 1)]
-            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), _signed(values))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], names=["set_key", "shingles"])
 
     return run

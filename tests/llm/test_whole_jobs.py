@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plain import line_verdicts
-from tallyhouse.llm import line_dedup, quality
+from tallyhouse.llm import line_dedup, near_dedup, quality
 
 
 def test_word_rule_rejects_alone(spark):
@@ -40,3 +42,22 @@ def test_shifted_lines(spark):
     got = verdicts(line_dedup.line_verdicts(docs))
     assert got[3, 0] == ("near", (2, 0))
     assert got == line_verdicts(rows, line_dedup.MIN_WORDS)
+
+
+def test_union_sketch_is_the_bottom_k(spark):
+    """Subset pairs of 64 to 160 shingles: the estimate equals that on the k smallest fingerprints of the full union."""
+    rng, rows, want = random.Random(6), [], {}
+    for i in range(300):
+        n = rng.randint(64, 160)
+        words = [f"w{rng.randint(0, 10**9)}" for _ in range(n + 4)]
+        texts = [" ".join(words), " ".join(words[: -(-3 * n // 4) + 4])]
+        rows += [(2 * i, texts[0]), (2 * i + 1, texts[1])]
+        values, bounds = near_dedup.shingle_sets(pa.array(texts))
+        large, small = values[: bounds[1]], values[bounds[1] :]
+        union = np.sort(np.union1d(large, small))[: near_dedup.SKETCH]
+        want[2 * i] = np.isin(union, small).mean()
+    found = near_dedup.sketched(spark.createDataFrame(rows, "doc_id long, text string"))
+    a, b = (found.select((F.col("doc_id") - k).alias("pair"), F.col("sketch").alias(f"sketch_{s}")).filter("pair % 2 = 0") for k, s in ((0, "a"), (1, "b")))
+    got = {r.pair: r.e for r in a.join(b, "pair").select("pair", near_dedup._estimate(near_dedup.SKETCH).alias("e")).collect()}
+    assert len(got) == 300 and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    assert abs(sum(got.values()) / 300 - 0.75) < 0.02 and min(got.values()) > 0.425
