@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plain import line_verdicts
-from tallyhouse.llm import line_dedup, near_dedup, quality
+from tallyhouse.llm import html_extract, line_dedup, near_dedup, quality
 
 
 def test_word_rule_rejects_alone(spark):
@@ -61,3 +61,13 @@ def test_union_sketch_is_the_bottom_k(spark):
     got = {r.pair: r.e for r in a.join(b, "pair").select("pair", near_dedup._estimate(near_dedup.SKETCH).alias("e")).collect()}
     assert len(got) == 300 and all(abs(got[i] - want[i]) < 1e-9 for i in want)
     assert abs(sum(got.values()) / 300 - 0.75) < 0.02 and min(got.values()) > 0.425
+
+
+def page_texts(spark, rows):
+    return {r.page_id: r.text for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_of_a_small_host_goes(spark):
+    page = "<body><div>Shop name</div><div><p>Article number {0} tells of {0} things at some length.</p></div><p>Call us now</p></body>"
+    got = page_texts(spark, [(i, f"http://h{n}.com/{i}", page.format(i)) for n in (1, 2, 3) for i in range(10 * n, 11 * n)])
+    assert got[10].startswith("Shop name") and all(got[i] == f"Article number {i} tells of {i} things at some length." for i in (20, 21, 30, 31, 32))
