@@ -65,12 +65,12 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Pieces:
     """Encodes texts piece by piece and remembers the pieces."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.known: dict[int, list[int]] = {}
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +117,8 @@ class Pieces:
 
 def _writer(folder: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer)
+        # special tokens as the library reads them by default
+        pieces = Pieces(tokenizer, special_as_text=False)
         limit = id_coder.BLOCK * id_coder.LANES
         name = f"{folder}/ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
         out, held, n_held, total, table = None, [], 0, 0, []

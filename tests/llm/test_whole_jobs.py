@@ -1,13 +1,15 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plain import line_verdicts
-from tallyhouse.llm import html_extract, line_dedup, near_dedup, quality
+from tallyhouse.llm import html_extract, line_dedup, near_dedup, quality, textscan, token_files
+from tallyhouse.llm.registry import tokenizer_path
 
 
 def test_word_rule_rejects_alone(spark):
@@ -71,3 +73,23 @@ def test_template_of_a_small_host_goes(spark):
     page = "<body><div>Shop name</div><div><p>Article number {0} tells of {0} things at some length.</p></div><p>Call us now</p></body>"
     got = page_texts(spark, [(i, f"http://h{n}.com/{i}", page.format(i)) for n in (1, 2, 3) for i in range(10 * n, 11 * n)])
     assert got[10].startswith("Shop name") and all(got[i] == f"Article number {i} tells of {i} things at some length." for i in (20, 21, 30, 31, 32))
+
+
+def test_special_tokens_as_the_library_reads_them(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(3)
+    parts = [" ", "\n", "\t", "a", "B", "é", "1", "'s", " of", "  ", "\r\n", "<|endoftext|>", "<|endoftext|>", "<|endof", "|>"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(2000))]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        pieces = token_files.Pieces(f.read(), special_as_text=False)
+    ids, counts = pieces.encode(*textscan.text_buffer(pa.array(texts)))
+    ends = np.cumsum(counts)
+    assert [ids[a:b].tolist() for a, b in zip(ends - counts, ends)] == want
+    assert want[0] == [64, 220, 50256, 275]
+    rows = list(enumerate(texts[:50]))
+    got = token_files.token_ids(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
+    crc = lambda x: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in x))
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(want[i]) + 1, crc([*want[i], 2])) for i, _ in rows}
