@@ -1,7 +1,10 @@
 """Line dedup within one word edit, by a deletion-neighbourhood join.
 
-Lines are split at line feeds. A line's words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased. Lines
-with fewer than `MIN_WORDS` words stay out of it. Of lines with equal words, and of lines one word
+Lines are split at line feeds. A line's words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased. A line of one
+word of a script without spaces (Chinese, Japanese, Thai and the like in half its code points or more) is
+spelled: its code points take the place of words. Every line with a word takes part in copies; the near
+join begins at `MIN_WORDS` words or `MIN_CHARACTERS` code points, as one edit of fewer is
+another line rather than a near one. Of lines with equal words, and of lines one word
 edit apart (one word replaced, inserted or left out), the earliest by (doc_id, line) is the
 first: a line is a copy if an earlier line has its words, and near if an earlier line that differs is
 within one edit of it.
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.textscan import SPACED, _powers, chunks_of, mix, scan_words, text_buffer
 from tallyhouse.storage import settle
 
-MIN_WORDS = 6
+#: Words, or code points of a spelled line, from which one edit makes a near line.
+MIN_WORDS, MIN_CHARACTERS = 6, 12
 CHUNK = 4 << 20
 #: Documents whose lines emit variants may be broadcast by id up to this many (about 40 bytes each and 8 a line).
 BROADCAST_LINES = 400_000
@@ -42,8 +46,36 @@ BROADCAST_KEYS = 500_000
 LATE = (1 << 63) - 1
 
 
+def _units(data: np.ndarray, words, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all units, the number of each word's units, and whether a word (one of those alone in a line) is spelled."""
+    spelled, counts = np.zeros(len(words.start), bool), np.ones(len(words.start), np.int64)
+    if not (data >= 0xE0).any():
+        return words.hash, counts, spelled
+    after = np.append(data[1:], 0)
+    wide = (data == 0xE0) & (after >= 0xB8) | (data == 0xE1) & (after < 0xA0) | (data >= 0xE3) & (data < 0xEE) | (data == 0xF0) & (after >= 0xA0)
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    wides = np.flatnonzero(wide)
+    a, b = words.start[alone], words.end[alone]
+    points = np.searchsorted(starts, b) - np.searchsorted(starts, a)
+    use = 2 * (np.searchsorted(wides, b) - np.searchsorted(wides, a)) >= points
+    spelled[alone[use]] = True
+    counts[alone[use]] = points[use]
+    word = np.repeat(np.arange(len(counts)), counts)
+    hashes, own = words.hash[word], spelled[word]
+    place = np.arange(len(word)) - (np.cumsum(counts) - counts)[word]
+    at = starts[np.searchsorted(starts, words.start[word[own]]) + place[own]]
+    padded = np.concatenate([data, np.zeros(3, data.dtype)]).astype(np.uint64)
+    lead = padded[at]
+    size = 1 + (lead >= 0xC0).astype(int) + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead + np.where((lead >= 0x41) & (lead <= 0x5A), 0x20, 0).astype(np.uint64)
+    for i in (1, 2, 3):
+        code = code * np.uint64(256) + np.where(size > i, padded[at + i], 0).astype(np.uint64)
+    hashes[own] = mix((code + np.uint64(1 << 40)) * np.uint64(0x9FB21C651E98DF25))
+    return hashes, counts, spelled
+
+
 class Lines:
-    """Lines of a batch: document, line number, range of words, and polynomial sums over the words."""
+    """Lines of a batch: document, line number, number of words, range of units (words or code points), and polynomial sums over these."""
 
     def __init__(self, column: pa.Array):
         data, offsets = text_buffer(column)
@@ -53,15 +85,19 @@ class Lines:
         # a document's end ends its line too
         key = line + words.doc
         opens = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self.first, self.last = opens, np.append(opens[1:], len(key))[: len(opens)]
+        self.n_words = np.append(opens[1:], len(key))[: len(opens)] - opens
         self.doc = words.doc[opens]
         self.number = line[opens] - np.searchsorted(feeds, offsets[self.doc]) if len(opens) else opens
+        self.words, units, spelled = _units(data, words, opens[self.n_words == 1])
+        ends = np.cumsum(units)
+        self.first = (ends - units)[opens]
+        self.last = np.append(self.first[1:], len(self.words))[: len(opens)]
         self.size = self.last - self.first
-        self.words = words.hash
-        power, self.inverse = _powers(len(key) + 2)
+        self.near = self.size >= np.where(spelled[opens], MIN_CHARACTERS, MIN_WORDS)
+        power, self.inverse = _powers(len(self.words) + 2)
         self.power = power
-        self.sums = np.zeros(len(key) + 1, np.uint64)
-        np.cumsum(words.hash * power[: len(key)], out=self.sums[1:])
+        self.sums = np.zeros(len(self.words) + 1, np.uint64)
+        np.cumsum(self.words * power[: len(self.words)], out=self.sums[1:])
 
     def hash(self, a: np.ndarray, b: np.ndarray, *salt: int | np.ndarray) -> np.ndarray:
         """Fingerprint of the words from a to b, as if they began at place 0."""
@@ -75,22 +111,28 @@ def _signed(values: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
     return pa.array(values.view(np.int64), kind or pa.int64())
 
 
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, line, n_words, line_hash and the four half keys of every line that is long enough."""
-    for batch in chunks_of(batches, "text", CHUNK):
-        lines = Lines(batch.column(1))
-        use = np.flatnonzero(lines.size >= MIN_WORDS)
-        a, b, n = lines.first[use], lines.last[use], lines.size[use]
-        halves = []
-        for m in (n, n - 1):
-            halves += [lines.hash(a, a + m // 2, m, 1), lines.hash(b - (m - m // 2), b, m, 2)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(pa.array(lines.doc[use])), pa.array(lines.number[use]), pa.array(n), _signed(lines.hash(a, b)),
-                pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(use) + 1, 4, dtype=np.int32)), _signed(np.stack(halves, axis=1).reshape(-1))),
-            ],
-            names=["doc_id", "line", "n_words", "line_hash", "halves"],
-        )
+def _survey(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """doc_id, line, n_words, line_hash of every line of that many words, and four half keys if it is long enough for the near join."""
+        for batch in chunks_of(batches, "text", CHUNK):
+            lines = Lines(batch.column(1))
+            use = np.flatnonzero(lines.n_words >= least)
+            own = lines.hash(lines.first[use], lines.last[use])
+            near = lines.near[use]
+            a, b, n = lines.first[use][near], lines.last[use][near], lines.size[use][near]
+            halves = []
+            for m in (n, n - 1):
+                halves += [lines.hash(a, a + m // 2, m, 1), lines.hash(b - (m - m // 2), b, m, 2)]
+            at = np.concatenate([[0], np.cumsum(4 * near)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(lines.doc[use])), pa.array(lines.number[use]), pa.array(lines.n_words[use]), _signed(own),
+                    pa.ListArray.from_arrays(pa.array(at), _signed(np.stack(halves, axis=1).reshape(-1))),
+                ],
+                names=["doc_id", "line", "n_words", "line_hash", "halves"],
+            )
+
+    return run
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +141,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = Lines(batch.column(0))
         wanted = [dict(zip(h, r)) for h, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
         own = lines.hash(lines.first, lines.last).view(np.int64).tolist()
-        long_enough = (lines.size >= MIN_WORDS).tolist()
+        long_enough = lines.near.tolist()
         named = [(i, wanted[d].get(own[i])) for i, d in enumerate(lines.doc.tolist()) if long_enough[i]]
         use = np.array([i for i, r in named if r is not None], np.int64)
         rank = [r for _, r in named if r is not None]
@@ -151,9 +193,9 @@ def _few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def surveyed(docs: DataFrame) -> DataFrame:
+def surveyed(docs: DataFrame, least: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return settle(rows.mapInArrow(_survey, "doc_id long, line long, n_words long, line_hash long, halves array<long>"))
+    return settle(rows.mapInArrow(_survey(least), "doc_id long, line long, n_words long, line_hash long, halves array<long>"))
 
 
 def near_firsts(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -195,9 +237,9 @@ def near_firsts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return settle(checked.join(alive.select("rank", "line_hash"), "rank").join(firsts, F.col("first") == F.col("r3")).select("line_hash", "first_hash"))
 
 
-def line_verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, line, n_words, verdict (first, copy, near) and the place of the line it repeats, for every line that takes part."""
-    lines = surveyed(docs)
+def line_verdicts(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """doc_id, line, n_words, verdict (first, copy, near) and the place of the line it repeats, for every line of that many words."""
+    lines = surveyed(docs, least)
     near = near_firsts(docs, lines)
     distinct = lines.groupBy("line_hash").agg(F.min(_place()).alias("at"))
     distinct = settle(distinct)
@@ -214,7 +256,7 @@ def line_verdicts(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without copied and near lines; all other columns as they came."""
-    gone = line_verdicts(docs).filter("verdict <> 'first'").groupBy(F.col("doc_id").alias("__gone_of")).agg(F.collect_set("line").alias("__gone"))
+    gone = line_verdicts(docs, least=1).filter("verdict <> 'first'").groupBy(F.col("doc_id").alias("__gone_of")).agg(F.collect_set("line").alias("__gone"))
     joined = docs.join(settle(gone), F.col("doc_id").eqNullSafe(F.col("__gone_of")), "left")
     kept = F.expr(r"array_join(filter(split(text, '\n'), (x, i) -> not array_contains(__gone, cast(i as bigint))), '\n')")
     return joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])

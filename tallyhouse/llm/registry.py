@@ -48,7 +48,7 @@ def op6_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_verdicts(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_verdicts(_table(spark, sf_dir, "documents"), least=1)
 
 
 def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,16 @@ def test_special_tokens_as_the_library_reads_them(spark):
     got = token_files.token_ids(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect()
     crc = lambda x: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in x))
     assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == {i: (len(want[i]) + 1, crc([*want[i], 2])) for i, _ in rows}
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    thai, han = "ภาษาไทยเขียนติดกัน", "今天的天气非常好我们去公园散步吧"
+    lines = ["Menu", "menu", " Share this ", "share THIS", "", " ", "other", han, han, han[:5] + "们" + han[5:], han[:3] + "地" + han[4:], "地" + han[1:] + "们", thai, thai[:-1], "日本語", "日本話", "日 本 語", "l’eau…"]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "Menu\nnew")], "doc_id long, text string")
+    got = verdicts(line_dedup.line_verdicts(docs, least=1))
+    told = {0: ("first", None), 1: ("copy", (1, 0)), 2: ("first", None), 3: ("copy", (1, 2)), 6: ("first", None), 7: ("first", None), 8: ("copy", (1, 7))}
+    told |= {9: ("near", (1, 7)), 10: ("near", (1, 7)), 11: ("first", None), 12: ("first", None), 13: ("near", (1, 12))}
+    told |= {i: ("first", None) for i in (14, 15, 16, 17)}
+    assert got == {(1, i): v for i, v in told.items()} | {(2, 0): ("copy", (1, 0)), (2, 1): ("first", None)}
+    cleaned = {r.doc_id: r.text for r in line_dedup.without_repeats(docs).collect()}
+    assert cleaned[2] == "new"
