@@ -106,3 +106,18 @@ def test_short_lines_and_lines_without_spaces(spark):
     assert got == {(1, i): v for i, v in told.items()} | {(2, 0): ("copy", (1, 0)), (2, 1): ("first", None)}
     cleaned = {r.doc_id: r.text for r in line_dedup.without_repeats(docs).collect()}
     assert cleaned[2] == "new"
+
+
+def test_copies_on_a_host_keep_their_text(spark):
+    """One article under many addresses, with another advert or menu each time, is no template."""
+    text = "<p>A first paragraph of the one article.</p><p>A second paragraph, longer than the first one of it.</p>"
+    forms = (
+        "<body><nav>menu {0}</nav><div>" + text + "</div><div class=ad>buy {0}</div></body>",
+        "<body><nav>menu</nav><article>" + text + "<p>Seen {0} times</p></article></body>",
+        "<body><div>" + text + "</div><div>buy {0}</div></body>",
+    )
+    got = page_texts(spark, [(100 * k + i, f"http://h{k}.com/?session={i}", form.format(i)) for k, form in enumerate(forms) for i in range(30)])
+    both = "A first paragraph of the one article.\n\nA second paragraph, longer than the first one of it."
+    assert all(got[i] == both for i in range(30))
+    assert all(got[100 + i] == f"{both}\n\nSeen {i} times" for i in range(30))
+    assert all(got[200 + i] == f"{both}\n\nbuy {i}" for i in range(30))
