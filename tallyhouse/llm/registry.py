@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, warc
+from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets_of(_table(spark, sf_dir, "documents"))
 
 
+def op13_shifted_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_quality_divergence": op2_quality_divergence,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_secret_crf": op10_secret_crf,
+    "op13_shifted_cholesky_whitening": op13_shifted_cholesky_whitening,
 }
 
 
