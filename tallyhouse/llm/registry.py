@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, quality, secret_scan, token_files, warc, whitening
+from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, packing, quality, secret_scan, token_files, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,10 @@ def op3_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_context_mixing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets_of(_table(spark, sf_dir, "documents"))
 
 
+def op12_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op13_shifted_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_secret_crf": op10_secret_crf,
+    "op12_configuration_packing": op12_configuration_packing,
     "op13_shifted_cholesky_whitening": op13_shifted_cholesky_whitening,
 }
 
