@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, packing, quality, secret_scan, token_files, warc, whitening
+from tallyhouse.llm import chat, decontam, html_extract, line_dedup, mixing, near_dedup, packing, quality, ranked, secret_scan, token_files, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets_of(_table(spark, sf_dir, "documents"))
 
 
+def op11_length_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_secret_crf": op10_secret_crf,
+    "op11_length_stratified_search": op11_length_stratified_search,
     "op12_configuration_packing": op12_configuration_packing,
     "op13_shifted_cholesky_whitening": op13_shifted_cholesky_whitening,
 }
@@ -231,4 +236,22 @@ TWINS: dict[str, str] = {
         SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
         FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id JOIN least ON least.a = w.doc_id
     """,
+    "op11_length_stratified_search": rf"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_ALNUM} AS words FROM documents),
+        t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM d) GROUP BY row, term),
+        g AS (SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+        i AS (SELECT row_number() OVER () AS item, item_id, {_ALNUM} AS words FROM benchmark),
+        q AS (SELECT DISTINCT item, item_id, unnest(words) AS term FROM i),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM t, g WHERE term IN (SELECT term FROM q) GROUP BY term
+        ),
+        s AS (
+            SELECT item, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id,
+                sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(words) * n_docs) // n_terms))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN t USING (term) JOIN d USING (row), g GROUP BY item, row
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= {ranked.TOP}
+    """,
 }
