@@ -5,7 +5,7 @@ terms has the normaliser m = 50 + (50 n N div L), so all documents of one m shar
 occurs tf times, (10^9 tf) div (1000 tf + 20 m).
 
 Index. One pass counts lengths: N, L and the documents of each m follow. A second pass sends every
-document's distinct terms (64-bit fingerprints) and counts to its stratum; strata of over STRATUM documents
+document's distinct terms (64-bit fingerprints) and counts to its stratum; strata of over BLOCK_DOCS documents
 are dealt to several tasks. A task inverts its strata into blocks of at most BLOCK_DOCS documents of one
 m: sorted terms, and the postings of each by rising tf, as runs of equal tf. The index is a written table.
 
@@ -40,8 +40,8 @@ from tallyhouse.session import fresh_dir
 from tallyhouse.storage import settle
 
 TOP = 50
-#: Documents of a stratum that go to one task, and documents and postings of an index block.
-STRATUM, BLOCK_DOCS, BLOCK_POSTINGS = 4096, 1024, 1 << 20
+#: Documents (of a stratum that go to one task, too) and postings of an index block.
+BLOCK_DOCS, BLOCK_POSTINGS = 1024, 1 << 20
 #: Queries and distinct terms of a query block.
 QUERIES, QUERY_TERMS = 4096, 1 << 18
 #: Index blocks and bytes of them that a task orders at once.
@@ -156,11 +156,11 @@ def build_index(docs: DataFrame) -> Index:
     n_docs, n_terms = total.docs or 0, total.terms or 0
     if not n_docs:
         return Index(spark.createDataFrame([], INDEX), 0, 0)
-    # large strata: 65,536 of the shorter documents at most, and one for each 5 million documents beyond
+    # large strata: 65,536 of the shorter documents at most, and one for each 1.3 million documents beyond
     # (a document of m over 65,586 has 1,300 times the mean length, so at most one in 1,300 has)
     m = F.expr(f"50 + (50 * n * {n_docs}L) div {n_terms}L")
-    large = lengths.groupBy(m.alias("m")).agg(F.sum("docs").alias("docs")).filter(F.col("docs") > STRATUM)
-    hot = {r.m: -(-r.docs // STRATUM) for r in large.collect()}
+    large = lengths.groupBy(m.alias("m")).agg(F.sum("docs").alias("docs")).filter(F.col("docs") > BLOCK_DOCS)
+    hot = {r.m: -(-r.docs // BLOCK_DOCS) for r in large.collect()}
     forward = rows.mapInArrow(_forward(n_docs, n_terms, hot), "m long, part long, doc_id long, terms binary, tfs binary")
     dealt = forward.repartition(F.col("m"), F.col("part")).sortWithinPartitions("m", "part")
     return Index(settle(dealt.select("m", "doc_id", "terms", "tfs").mapInArrow(_inverted, INDEX)), n_docs, n_terms)

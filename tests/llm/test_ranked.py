@@ -39,10 +39,10 @@ def texts(rng, n, vocabulary=60, longest=60):
 
 
 @pytest.mark.parametrize("k", [1, 7, 50])
-@pytest.mark.parametrize("sizes", [(1024, 4096, 4096, 1 << 22), (3, 4, 2, 8)])
+@pytest.mark.parametrize("sizes", [(1024, 4096, 1 << 22), (3, 2, 8)])
 def test_all_items(spark, monkeypatch, k, sizes):
-    """With blocks, strata, query blocks and score tables of any size."""
-    for name, size in zip(("BLOCK_DOCS", "STRATUM", "QUERIES", "CELLS"), sizes):
+    """With blocks, query blocks and score tables of any size."""
+    for name, size in zip(("BLOCK_DOCS", "QUERIES", "CELLS"), sizes):
         monkeypatch.setattr(ranked, name, size)
     rng = random.Random(k)
     docs = list(enumerate(texts(rng, 250)))
