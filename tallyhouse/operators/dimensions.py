@@ -18,6 +18,13 @@ def with_member_zero(df: DataFrame, name_col: str, values: list) -> DataFrame:
     return named.unionByName(zero)
 
 
+def assert_distinct_keys(dim: DataFrame, key: str) -> None:
+    """Raise if two members share a surrogate key (C7): 60 bits of md5 may meet, if hardly ever."""
+    twice = dim.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").head(1)
+    if twice:
+        raise ValueError(f"{key} {twice[0][0]} stands for {twice[0].n} members")
+
+
 def calendar_bounds(sales: DataFrame, years_ahead: int) -> tuple[dt.date | None, dt.date | None]:
     """First day of the first sale's year, last day of the year that is ``years_ahead`` after the last's."""
     first, last = sales.agg(F.min("sale_date"), F.max("sale_date")).first()

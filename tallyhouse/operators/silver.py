@@ -45,6 +45,11 @@ def item_catalog(csv: DataFrame) -> DataFrame:
     return ranked.filter("rn = 1").select("item_id", "item_name", "item_plu", "revenue_center")
 
 
+def takes_from_catalog() -> Column:
+    """Lines whose name or category :func:`enrich` fills in."""
+    return F.coalesce(F.col("Revenue Center").rlike("^[0-9]+$"), F.lit(False)) | C.tidy("Item Name").isNull()
+
+
 def enrich(bronze: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the effective category and name: catalog values where the feed has only ids."""
     cat = catalog.select(

@@ -164,13 +164,22 @@ def store_leaderboard_mom(w: Warehouse) -> DataFrame:
 
 
 def store_month_matrix(w: Warehouse) -> DataFrame:
-    """Store by month matrix; the months that exist are the columns, absent cells NULL."""
+    """Store by month matrix, laid out as rows of a fixed schema: every store in every month, absent cells NULL.
+
+    The months that exist decide the pivot's columns; unpivoting them keeps the empty cells.
+    """
     months = [f"{m:%Y-%m}" for m in written_months(w.fact_order)]
     cells = w.fact_order.groupBy("store_key", MONTH).agg(sales())
     labelled = store_names(cells, w).select("store_name", month_label(), "net_sales")
-    return labelled.groupBy("store_name").pivot("year_month", months).sum("net_sales").orderBy(
-        "store_name"
-    )
+    matrix = labelled.groupBy("store_name").pivot("year_month", months).sum("net_sales")
+    return unpivoted(matrix, months).orderBy("store_name", "year_month")
+
+
+def unpivoted(matrix: DataFrame, months: list[str]) -> DataFrame:
+    """Rows (store_name, year_month, net_sales) of a matrix; without months there are no rows."""
+    if not months:
+        return matrix.select("store_name", F.lit("").alias("year_month"), F.lit(None).cast("decimal(38,2)").alias("net_sales")).limit(0)
+    return matrix.unpivot("store_name", [F.col(f"`{m}`") for m in months], "year_month", "net_sales")
 
 
 def store_month_options(w: Warehouse) -> DataFrame:

@@ -374,26 +374,37 @@ def files_to_gold(w: Warehouse) -> DataFrame:
 
 
 def incremental_to_gold(w: Warehouse) -> DataFrame:
-    """Two deliveries through the whole warehouse.
+    """Three deliveries through the whole warehouse, the first of which breaks off after its load.
 
-    The first lacks feed A's file of June 2000. The second brings it late, together with a
-    corrected file for May 2000 in which every line costs seven. The second run opens the tables anew.
+    The first lacks feed A's file of June 2000; its run dies when bronze is written. The second brings that
+    file late, together with a corrected file for May 2000 in which every line costs seven. The third brings new
+    order payloads for the known store-days of April 2000, in which every entry costs five. Each run opens the tables anew.
     """
     base = fresh_dir(w.spark, "deliveries")
     files = landed(w)
     late, wrong = F.col("file") == "DDBB_Jun_00.csv", F.col("file") == "DDBB_May_00.csv"
     feed_a = landing.land_feed_a(w.text_a.filter(~late), f"{base}/a")
+    orders = tables.nested_orders(w.lines, w.settings)
+    xml = landing.land_orders(orders, f"{base}/xml")
     root, aliases = f"{base}/warehouse", tables.store_aliases(w.settings)
-    LiveWarehouse(w.spark, root, w.settings, aliases).run(feed_a, files.b, files.xml, LOADED)
+
+    def open_live() -> LiveWarehouse:
+        return LiveWarehouse(w.spark, root, w.settings, aliases)
+
+    open_live().load(feed_a, files.b, xml, LOADED)
     fixed = w.text_a.filter(wrong).withColumns({"Net Sales": F.lit("$7.00"), "file": F.lit("DDBB_May_00_fixed.csv")})
     landing.land_feed_a(w.text_a.filter(late).unionByName(fixed), feed_a, mode="append")
-    live = LiveWarehouse(w.spark, root, w.settings, aliases)
-    live.run(feed_a, files.b, files.xml, LOADED + dt.timedelta(days=1))
-    orders = live.fact_order.groupBy("source_system", "sale_month").agg(
-        F.count("*").alias("orders"), F.sum("order_net_sales").alias("net_sales")
-    )
-    items = live.fact_sale_item.groupBy("source_system", "sale_month").agg(F.sum("qty").alias("items_sold"))
-    return orders.join(items, ["source_system", "sale_month"], "full_outer")
+    open_live().run(feed_a, files.b, xml, LOADED + dt.timedelta(days=1))
+    entries = F.transform("Entries.OrderEntry", lambda e: e.withField("ItemNetSales", F.lit("5.00")))
+    april = orders.filter(F.col("date").between(F.lit("2000-04-01").cast("date"), F.lit("2000-04-30").cast("date")))
+    landing.land_orders(april.withColumn("Entries", F.struct(entries.alias("OrderEntry"))), xml, mode="append")
+    live = open_live()
+    live.run(feed_a, files.b, xml, LOADED + dt.timedelta(days=2))
+    by = ["source_system", "sale_month"]
+    orders_told = live.fact_order.groupBy(*by).agg(F.count("*").alias("orders"), F.sum("order_net_sales").alias("net_sales"))
+    items = live.fact_sale_item.groupBy(*by).agg(F.sum("qty").alias("items_sold"))
+    staff = live.fact_by_employee.groupBy("sale_month").agg(F.sum("net_sales").alias("staff_net_sales"))
+    return orders_told.join(items, by, "full_outer").join(staff, "sale_month", "left")
 
 
 # --- cleansing ----------------------------------------------------------------------

@@ -439,13 +439,15 @@ TWINS: dict[str, str] = {
   WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
  UNION ALL SELECT 'feed_c', upper(store), ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void
   AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL"""),
-    "A24_incremental_to_gold": q(f"""SELECT source_system, CAST(date_trunc('month', d) AS DATE) AS sale_month,
- {big('count(DISTINCT ok)')} AS orders, {dbl('sum(n)')} AS net_sales, {dbl('sum(i)')} AS items_sold FROM (
+    "A24_incremental_to_gold": q(f"""SELECT source_system, sale_month, orders, net_sales, items_sold,
+ {dbl('sum(exact) OVER (PARTITION BY sale_month)')} AS staff_net_sales FROM (
+ SELECT source_system, CAST(date_trunc('month', d) AS DATE) AS sale_month,
+ {big('count(DISTINCT ok)')} AS orders, {dbl('sum(n)')} AS net_sales, {dbl('sum(i)')} AS items_sold, sum(n) AS exact FROM (
  SELECT 'feed_a' AS source_system, d, ok, CASE WHEN strftime(d, '%Y-%m') = '2000-05' THEN 7 ELSE cur END AS n, 1 AS i FROM ta
   WHERE NOT void AND NOT modi AND (cur IS NOT NULL OR strftime(d, '%Y-%m') = '2000-05')
  UNION ALL SELECT 'feed_b', d, ok, fpx, qx FROM tb WHERE typ IN ('SALE', 'UPDATE') AND NOT modi
- UNION ALL SELECT 'feed_c', d, ok, net, 1 FROM lx WHERE feed = 'feed_c' AND NOT void
-  AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL"""),
+ UNION ALL SELECT 'feed_c', d, ok, CASE WHEN strftime(d, '%Y-%m') = '2000-04' THEN 5 ELSE net END, 1 FROM lx
+  WHERE feed = 'feed_c' AND NOT void AND (loc, d) NOT IN (SELECT loc, d FROM ta)) GROUP BY ALL)"""),
     "B1_source_precedence": q(f"""SELECT loc AS location, d AS sale_date, src AS _source_system, {VERSION}
  FROM bac GROUP BY ALL"""),
     "B2_item_catalog": q("SELECT * FROM cat"),
@@ -572,8 +574,9 @@ TWINS: dict[str, str] = {
  {dbl('p')} AS prev_month_sales, {rdiv('c - p', 'p', 4)} AS mom_growth_pct FROM (
  SELECT store_name, sum(order_net_sales) FILTER (mon = m) AS c, sum(order_net_sales) FILTER (mon <> m) AS p
  FROM fo, lmo WHERE mon >= m - INTERVAL 1 MONTH GROUP BY 1)"""),
-    "Q8_store_month_matrix": q(""" FROM (PIVOT (SELECT store_name, ym, order_net_sales FROM fo) ON ym
- USING CAST(sum(order_net_sales) AS DOUBLE) GROUP BY store_name)"""),
+    "Q8_store_month_matrix": q(f"""SELECT s.store_name, m.ym AS year_month, {dbl('sum(order_net_sales)')} AS net_sales
+ FROM (SELECT DISTINCT store_name FROM fo) AS s CROSS JOIN (SELECT DISTINCT ym FROM fo) AS m
+ LEFT JOIN fo ON fo.store_name = s.store_name AND fo.ym = m.ym GROUP BY 1, 2"""),
     "Q9_store_month_options": q("SELECT store_name FROM ds ORDER BY 1"),
     "Q10_store_monthly_sales": q(f"""SELECT store_name, mon AS month, ym AS year_month, {dbl(ORD)} AS net_sales FROM fo
  WHERE store_name = 'LAS VEGAS' GROUP BY 1, 2, 3"""),
