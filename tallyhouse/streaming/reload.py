@@ -81,6 +81,10 @@ class Table:
         rows = self._stage(df).hint("rebalance", *self.partitions)
         rows.write.mode("overwrite").partitionBy(*self.partitions).parquet(self.path)
 
+    def replace_all(self, df: DataFrame) -> None:
+        """Replace an unpartitioned table by rows that were not read from it."""
+        df.select(*self.schema.names).write.mode("overwrite").parquet(self.path)
+
     def swap(self, other: "Table") -> None:
         """Take the other table's place in the file system: two renames, then the old rows go."""
         mine, fs = _file_system(self.spark, self.path)

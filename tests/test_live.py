@@ -115,7 +115,7 @@ def killed_after(monkeypatch, path, attempt):
         return write
 
     with monkeypatch.context() as patched:
-        for name in ("replace_partitions", "overwrite"):
+        for name in ("replace_partitions", "replace_all"):
             patched.setattr(loads.Table, name, deadly(getattr(loads.Table, name)))
         with pytest.raises(Killed):
             attempt()
