@@ -1,28 +1,32 @@
 """Main text of web pages by wrapper induction per host.
 
 A page's block elements form a tree; siblings of one label (tag and classes) are one slot, as a
-list's entries are. The distinct trees of a host are merged by simple tree matching, some at a
-time, into the host's wrapper, and each distinct tree is matched with the finished wrapper. A text
-that a wrapper node shows on nearly all of the host's pages is constant: template. Texts of
-varying slots are content, unless they lie in a part that is no article: menus, headers, footers,
-sidebars, notices, adverts, forms, comments, told by element, role and class. Where a page marks
-an article or main element, only that counts, and all of it: nothing in there is taken for template.
-
-Pages are read twice and never shuffled: the first pass sends trees and hashes of block texts,
-grouped by host with partial sums; the second one gets the constants of its host (a broadcast while
-there are few, else a join by host). No task holds a host's pages.
-
-Evidence are pages without such an element and of distinct content (adverts and menus aside), from two of a
-host on. A page that would lose more than nine tenths of its text to
-constants (half with two pages of evidence, two thirds with three, and so on) is a copy of others
-rather than one of their template, and keeps it all.
+list's entries are. The distinct trees of all pages of a host, marked ones included, are merged by simple
+tree matching, some at a time, into the host's wrapper, and each distinct tree is matched with the finished
+wrapper. From two pages of distinct content of a host on (adverts and menus aside) its nodes are judged:
+
+- a text that a node shows on nearly all of the host's pages is constant: template;
+- a node of a class, or below one, that pages with an article or main element show outside of it, twice or
+  more, is template whole;
+- texts of the other, varying slots are content.
+
+Where a page marks an article or main element, only that counts, and all of it: nothing in there is taken
+for template, and only elements, roles and whole class names that say menu, form, advert or reader comments
+are left out of it. Elsewhere parts that are no article are told by element, role and class words as well.
+
+Pages are read twice and never shuffled while the template is small: the first pass sends trees and hashes of
+block texts, grouped by host with partial sums; the second one parses each page, and gets the template of its
+tree (a broadcast while there is little, else a join by host and tree). No task holds a host's pages.
+
+A page that would lose more than nine tenths of its text to constants (half with two pages of evidence, two
+thirds with three, and so on) is a copy of others rather than one of their template, and keeps it all.
 
 Blocks are text between borders of block elements, character references decoded, white space as one
 space, trimmed, joined by two line feeds in page order. Nothing else is dropped.
 
 Defined cases: null html has empty text; a null or odd url has no host and no wrapper; pages of
-a host with equal content count once as evidence; a host with one such page has no constants; unclosed and stray tags follow the usual repair rules; elements below
-depth 200 join their ancestor of that depth.
+a host with equal content count once as evidence; a host with one such page has no template; unclosed and
+stray tags follow the usual repair rules; elements below depth 200 join their ancestor of that depth.
 """
 
 from __future__ import annotations
@@ -48,7 +52,10 @@ CONSTANT_SHARE = 0.95
 MOST_TAKEN = 0.9
 #: Trees merged in one task, round by round.
 MERGED = 64
-BROADCAST_HOSTS = 20_000
+#: Template entries (about 32 bytes each) that may be broadcast.
+BROADCAST_ENTRIES = 200_000
+#: Stands for all texts of a node.
+WHOLE = 0
 MAX_DEPTH = 200
 CHUNK = 4 << 20
 
@@ -81,6 +88,8 @@ DROPPED_WORDS = frozenset(
     "modal overlay newsletter subscribe subscription sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead topbar "
     "comment comments reply replies disqus share sharing social related recommended widget login signup signin pagination pager skip toc".split()
 )
+#: Whole class names or ids that leave an element out of a marked article.
+DROPPED_NAMES = frozenset("ad ads advert adverts advertisement comment comments comment-list comments-area disqus_thread newsletter sidebar".split())
 #: Names of a page's head part; within an article they may hold its title.
 HEADER_NAMES = frozenset(("header", "site-header", "page-header", "top-header", "site-title", "site-name", "logo"))
 TOKEN = re.compile(
@@ -98,23 +107,31 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _dropped(tag: str, told: dict[str, str], in_article: bool) -> bool:
     """Whether an element holds what is no article."""
-    if tag in DROPPED_TAGS or tag == "header" and not in_article or "hidden" in told or told.get("aria-hidden") == "true":
-        return True
-    if told.get("role", "").lower() in DROPPED_ROLES or re.search(r"display\s*:\s*none", told.get("style", "")):
+    if tag in DROPPED_TAGS or tag == "header" and not in_article or told.get("role", "").lower() in DROPPED_ROLES:
         return True
     names = f"{told.get('class', '')} {told.get('id', '')}"
-    if not in_article and not HEADER_NAMES.isdisjoint(names.lower().split()):
+    if in_article:
+        return not DROPPED_NAMES.isdisjoint(names.lower().split())
+    if "hidden" in told or told.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", told.get("style", "")):
+        return True
+    if not HEADER_NAMES.isdisjoint(names.lower().split()):
         return True
     return tag not in ("html", "body", "article", "main") and any(w.lower() in DROPPED_WORDS for w in WORD.findall(names)) or tag == "article" and any(
         w.lower() in ("comment", "comments", "reply", "related", "promo", "ad") for w in WORD.findall(names)
     )
 
 
+def _label(tag: str, classes: str) -> str:
+    """Tag and classes in any order; long lists by their hash."""
+    names = ".".join(sorted(classes.split()))
+    return f"{tag}.{names}" if len(names) <= 48 else f"{tag}#{_hash(names):x}"
+
+
 class Page:
     """Blocks of a page as (node, text, dropped, main), and the element tree as (label, children)."""
 
     def __init__(self, html: str):
-        self.labels, self.children = ["#"], [[]]
+        self.labels, self.children, self.named = ["#"], [[]], [False]
         self.blocks: list[tuple[int, str, bool, bool]] = []
         self.open: list[tuple[str, int, bool, bool]] = [("#", 0, False, False)]
         self.texts: list[str] = []
@@ -177,8 +194,9 @@ class Page:
         node = above
         if len(self.open) < MAX_DEPTH:
             node = len(self.labels)
-            self.labels.append((tag + "." + ".".join(sorted(told.get("class", "").split())[:3]))[:64])
+            self.labels.append(_label(tag, told.get("class", "")))
             self.children.append([])
+            self.named.append(self.named[above] or tag != "body" and bool(told.get("class", "").strip()))
             self.children[above].append(node)
         self.open.append((tag, node, dropped, main))
 
@@ -218,6 +236,14 @@ class Page:
         marked = self.marked()
         return [(node, text) for node, text, dropped, main in self.blocks if not dropped and (main or not marked)]
 
+    def evidence(self, slot_of: dict[int, int]) -> set[tuple[int, int]]:
+        """(slot, hash of the text) of blocks that may be template; of a marked page (slot, WHOLE) for slots outside, too."""
+        marked = self.marked()
+        outside = [(node, text) for node, text, dropped, main in self.blocks if not main]
+        # a bare element may hold anything on another page; one of a class, or in such a one, is the same part
+        whole = {(slot_of[node], WHOLE) for node, _ in outside if self.named[node]} if marked else set()
+        return whole | {(slot_of[node], _hash(text)) for node, text in outside}
+
 
 def _matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching of two trees of one label: nodes matched, and the pairs of children aligned."""
@@ -291,10 +317,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             page = Page(html)
             content = page.content()
-            if page.marked() or not content:
+            if not content:
                 continue
             tree, slot_of = page.slots()
-            seen = sorted({(slot_of[node], _hash(text)) for node, text in content})
+            seen = sorted(page.evidence(slot_of))
             out["host"].append(host)
             out["page"].append(_hash(*[t for _, t in content]))
             out["tree"].append(json.dumps(tree, ensure_ascii=False, separators=(",", ":")))
@@ -348,8 +374,8 @@ def wrappers(trees: DataFrame) -> DataFrame:
         found = parts.mapInArrow(_merge_groups, "host string, tree string")
 
 
-def constants(pages: DataFrame) -> DataFrame:
-    """host, the keys (slot tree, slot, text) of its constant blocks, and its distinct pages."""
+def templates(pages: DataFrame) -> DataFrame:
+    """host, tree_key, template, pages: the (slot:text) entries of each distinct tree that are template, and the host's distinct pages."""
     rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     seen = settle(rows.mapInArrow(_survey, "host string, page long, tree string, slots array<int>, texts array<long>"))
     trees = settle(seen.select("host", "tree").distinct())
@@ -364,9 +390,11 @@ def constants(pages: DataFrame) -> DataFrame:
     shown = shown.select("host", "tree_key", F.col("b.slots").alias("slot"), F.col("b.texts").alias("text"))
     counted = settle(shown.groupBy("host", "tree_key", "slot", "text").agg(F.count(F.lit(1)).alias("n")).filter("n > 0"))
     at_node = counted.join(nodes, ["host", "tree_key", "slot"]).groupBy("host", "node", "text").agg(F.sum("n").alias("n"))
-    constant = at_node.join(total, "host").filter(F.col("n") >= F.col("pages") * CONSTANT_SHARE).select("host", "node", "text")
+    often = F.when(F.col("text") == WHOLE, F.col("n") >= MIN_PAGES).otherwise(F.col("n") >= F.col("pages") * CONSTANT_SHARE)
+    constant = at_node.join(total, "host").filter(often).select("host", "node", "text")
     back = settle(constant).join(nodes, ["host", "node"]).select("host", "tree_key", "slot", "text").distinct()
-    grouped = back.groupBy("host").agg(F.sort_array(F.collect_list(F.concat_ws(":", "tree_key", "slot", "text"))).alias("constants"))
+    # of one tree: what nearly every page of that form shows
+    grouped = back.groupBy("host", "tree_key").agg(F.sort_array(F.collect_list(F.concat_ws(":", "slot", "text"))).alias("template"))
     return settle(grouped.join(total, "host"))
 
 
@@ -376,33 +404,58 @@ def _tree_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], names=["host", "tree", "tree_key"])
 
 
-def main_blocks(html: str, constant: frozenset[str] | set[str], pages: int = 100) -> list[str]:
-    """The article's blocks of one page, without the constants that its host's distinct pages gave."""
-    page = Page(html)
-    found = page.content()
-    if constant and found and not page.marked():
-        tree, slot_of = page.slots()
-        key = _hash(json.dumps(tree, ensure_ascii=False, separators=(",", ":")))
-        kept = [(node, text) for node, text in found if f"{key}:{slot_of[node]}:{_hash(text)}" not in constant]
-        size = sum(len(text) for _, text in found)
-        if size - sum(len(text) for _, text in kept) <= size * min(MOST_TAKEN, 1 - 1 / pages):
-            found = kept
+def kept_blocks(found: list[tuple[int, str]], marked: bool, template: frozenset[str] | set[str], pages: int) -> list[str]:
+    """The article's blocks among (slot, text), without the template that its host's distinct pages gave."""
+    if template and found and not marked:
+        left = [(slot, text) for slot, text in found if f"{slot}:{WHOLE}" not in template]
+        kept = [(slot, text) for slot, text in left if f"{slot}:{_hash(text)}" not in template]
+        size = sum(len(text) for _, text in left)
+        if left and size - sum(len(text) for _, text in kept) <= size * min(MOST_TAKEN, 1 - 1 / pages):
+            left = kept
+        found = left or found
     return [text for _, text in found]
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def main_blocks(html: str, template: frozenset[str] | set[str], pages: int = 100) -> list[str]:
+    """The article's blocks of one page."""
+    page = Page(html)
+    _, slot_of = page.slots()
+    return kept_blocks([(slot_of[node], text) for node, text in page.content()], page.marked(), template, pages)
+
+
+BLOCKS = "page_id long, url string, host string, tree_key long, marked boolean, slots array<int>, texts array<string>"
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks_of(batches, "html", CHUNK):
-        ids, urls, pages, known, evidence = batch.columns
-        texts = ["\n\n".join(main_blocks(h, set(c or ()), n or 1)) if h else "" for h, c, n in zip(*[x.to_pylist() for x in (pages, known, evidence)])]
-        yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        hosts, keys, marks, slots, texts = [], [], [], [], []
+        for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            page = Page(html or "")
+            content = page.content()
+            tree, slot_of = page.slots()
+            hosts.append(host_of(url))
+            keys.append(_hash(json.dumps(tree, ensure_ascii=False, separators=(",", ":"))))
+            marks.append(page.marked())
+            slots.append([slot_of[node] for node, _ in content])
+            texts.append([text for _, text in content])
+        made = [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(marks, pa.bool_()), pa.array(slots, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["page_id", "url", "host", "tree_key", "marked", "slots", "texts"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, urls, *columns = batch.columns
+        out = ["\n\n".join(kept_blocks(list(zip(s, t)), m, set(c or ()), n or 1)) for m, s, t, c, n in zip(*[x.to_pylist() for x in columns])]
+        yield pa.RecordBatch.from_arrays([ids, urls, pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    known = constants(pages)
-    if known.count() <= BROADCAST_HOSTS and (known.agg(F.sum(F.size("constants"))).first()[0] or 0) <= 10 * BROADCAST_HOSTS:
+    known = templates(pages).withColumnsRenamed({"host": "of_host", "tree_key": "of_tree"})
+    if (known.agg(F.sum(F.size("template"))).first()[0] or 0) <= BROADCAST_ENTRIES:
         known = F.broadcast(known)
-    host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("__host"))
-    rows = rows.join(known, F.col("__host") == F.col("host"), "left").select("page_id", "url", "html", "constants", "pages")
-    return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = rows.mapInArrow(_parsed, BLOCKS)
+    rows = rows.join(known, (F.col("host") == F.col("of_host")) & (F.col("tree_key") == F.col("of_tree")), "left")
+    rows = rows.select("page_id", "url", "marked", "slots", "texts", "template", "pages")
+    return rows.mapInArrow(_joined, "page_id long, url string, text string, n_chars long")
