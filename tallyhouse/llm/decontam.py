@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.textscan import ALNUM, Words, chunks_of, scan_words, text_buffer
 
 WINDOW = 13
@@ -337,16 +338,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, as they came."""
-    return marked_documents(docs, benchmark).filter(~contaminated()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, as_they_came = set_aside(docs, ("text",))
+    return as_they_came(marked_documents(plain, benchmark).filter(~contaminated()))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All documents with the removal spans cut out of their text."""
-    marked = marked_documents(docs, benchmark)
+    plain, as_they_came = set_aside(docs, ("text",))
+    marked = marked_documents(plain, benchmark)
     pieces = F.expr(
         f"transform(sequence(0, size({SPANS})), i -> substring(text, "
         f"if(i = 0, 1L, {SPANS}[greatest(i - 1, 0)].end + 1), "
         f"if(i = size({SPANS}), length(text), {SPANS}[least(i, size({SPANS}) - 1)].start) - if(i = 0, 0L, {SPANS}[greatest(i - 1, 0)].end)))"
     )
     cleaned = F.when(F.size(SPANS) > 0, F.array_join(pieces, "")).otherwise(F.col("text"))
-    return marked.withColumn("text", cleaned).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return as_they_came(marked.withColumn("text", cleaned))

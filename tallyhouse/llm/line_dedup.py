@@ -33,9 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.textscan import SPACED, _powers, chunks_of, mix, scan_words, text_buffer
 from tallyhouse.storage import settle
 
+#: Number of a row within one call.
+ROW = "_row"
 #: Words, or code points of a spelled line, from which one edit makes a near line.
 MIN_WORDS, MIN_CHARACTERS = 6, 12
 CHUNK = 4 << 20
@@ -255,8 +258,21 @@ def line_verdicts(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The documents without copied and near lines; all other columns as they came."""
-    gone = line_verdicts(docs, least=1).filter("verdict <> 'first'").groupBy(F.col("doc_id").alias("__gone_of")).agg(F.collect_set("line").alias("__gone"))
-    joined = docs.join(settle(gone), F.col("doc_id").eqNullSafe(F.col("__gone_of")), "left")
-    kept = F.expr(r"array_join(filter(split(text, '\n'), (x, i) -> not array_contains(__gone, cast(i as bigint))), '\n')")
-    return joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents without copied and near lines; all other columns as they came.
+
+    Every row is a document of its own, in the order of its id and its text's hash (null ids last): rows that
+    share an id, or have none, keep their own lines, and of equal rows the later ones lose all theirs.
+    """
+    plain, as_they_came = set_aside(docs, ("text",))
+    order = [F.lit(0)]
+    if "doc_id" in docs.columns:
+        named = F.col(f"_column_{docs.columns.index('doc_id')}").cast("long")
+        order = [named.isNull(), named]
+    order = [*order, F.xxhash64("text")]
+    numbered = plain.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(ROW, F.monotonically_increasing_id())
+    numbered = settle(numbered)
+    verdicts = line_verdicts(numbered.select(F.col(ROW).alias("doc_id"), "text"), least=1).filter("verdict <> 'first'")
+    gone = settle(verdicts.groupBy(F.col("doc_id").alias("_gone_of")).agg(F.collect_set("line").alias("_gone")))
+    joined = numbered.join(gone, F.col(ROW) == F.col("_gone_of"), "left")
+    kept = F.expr(r"array_join(filter(split(text, '\n'), (x, i) -> not array_contains(_gone, cast(i as bigint))), '\n')")
+    return as_they_came(joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)))

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.textscan import SPACED, chunks_of, rolling, scan_words, text_buffer
 from tallyhouse.storage import settle
 
@@ -369,6 +370,7 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, k: int = SKETCH) -> DataFra
     Rows without words all stay. Ids that several rows bear, and null ids, cannot name a
     row: those rows are keyed by their set again, and one row of each group stays too.
     """
+    docs, as_they_came = set_aside(docs, ("doc_id", "text"))
     result = settle(near_duplicates(docs, width, k))
     names = F.col("doc_id").eqNullSafe(F.col("component_id"))
     twice = settle(result.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").select("doc_id"))
@@ -378,7 +380,7 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, k: int = SKETCH) -> DataFra
         single = F.broadcast(single)
     plain = docs.join(single, F.col("doc_id") == F.col(KEPT_ID), "left_semi")
     if twice.isEmpty():
-        return plain
+        return as_they_came(plain)
     among = keep.join(twice, keep.doc_id.eqNullSafe(twice.doc_id), "left_semi").filter("set_key is not null")
     chosen = settle(among.groupBy("comp", "doc_id").agg(F.min("set_key").alias(KEPT_KEY)).select(F.col("doc_id").alias(KEPT_ID), KEPT_KEY))
     shared = docs.join(twice.select(F.col("doc_id").alias(KEPT_ID)), F.col("doc_id").eqNullSafe(F.col(KEPT_ID)), "left_semi")
@@ -386,4 +388,4 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, k: int = SKETCH) -> DataFra
     match = F.col("doc_id").eqNullSafe(F.col(KEPT_ID)) & (F.col(SET_KEY) == F.col(KEPT_KEY))
     picked = keyed.join(chosen, match, "left_semi").dropDuplicates(["doc_id", SET_KEY])
     empty = keyed.filter(F.col(SET_KEY).isNull())
-    return plain.unionByName(picked.unionByName(empty).drop(SET_KEY))
+    return as_they_came(plain.unionByName(picked.unionByName(empty).drop(SET_KEY)))

@@ -107,6 +107,25 @@ def _distance(p: str, q: str) -> str:
 _SPACED = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _place(*parts: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(chr(31), {', '.join(parts)})), 1, 15))::BIGINT"
+
+
+def _last_exponent(name: str, holds: str) -> str:
+    """The largest grid exponent at which a condition on sums over u holds, bisected; `a` stands for it."""
+    tried = holds.replace(" a ", f" (((low + high) // 2)::DOUBLE / {mixing.GRID}) ")
+    return f"""{name} AS (
+            SELECT 0 AS low, {mixing.GRID} AS high
+            UNION ALL
+            SELECT CASE WHEN good THEN (low + high) // 2 ELSE low END, CASE WHEN good THEN high ELSE (low + high) // 2 END
+            FROM (SELECT low, high, (SELECT {tried} FROM u) AS good FROM {name} WHERE high - low > 1)
+        )"""
+
+
+_ENTROPY = "(log2(sum(pow(share, a ))) - sum(pow(share, a ) * log2(share) * a ) / sum(pow(share, a )))"
+
 #: DuckDB forms of the queries that SQL can express.
 TWINS: dict[str, str] = {
     "op1_warc_normaliser": """
@@ -254,4 +273,33 @@ TWINS: dict[str, str] = {
         SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
         FROM s WHERE score > 0 QUALIFY rank <= {ranked.TOP}
     """,
+    "op8_temperature_mixing": rf"""
+        WITH RECURSIVE m AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS source,
+                len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS n_tokens,
+                {_place(f"'{mixing.SEED}'", "coalesce(doc_id::VARCHAR, '')", "coalesce(text, '')")} AS spot
+            FROM documents
+        ),
+        s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) / greatest(sum(sum(n_tokens)) OVER (), 1)::DOUBLE AS share FROM m GROUP BY source),
+        u AS (SELECT share FROM s WHERE share > 0),
+        own AS (SELECT {_ENTROPY.replace(" a ", " 1.0::DOUBLE ")} AS h, log2(count(*)) AS even FROM u),
+        {_last_exponent("rich", f"{_ENTROPY} >= (SELECT h + (even - h) * {mixing.ENTROPY_GAIN} FROM own)")},
+        {_last_exponent("crowded", f"max(pow(share, a - 1)) > min(pow(share, a - 1)) * {mixing.REPETITION_LIMIT}")},
+        e AS (SELECT CASE WHEN h < h + (even - h) * {mixing.ENTROPY_GAIN} THEN (SELECT max(low) FROM rich)::DOUBLE / {mixing.GRID} ELSE 1.0::DOUBLE END AS wished FROM own),
+        x AS (
+            SELECT CASE WHEN (SELECT max(pow(share, wished - 1)) > min(pow(share, wished - 1)) * {mixing.REPETITION_LIMIT} FROM u)
+                THEN (SELECT max(low) FROM crowded)::DOUBLE / {mixing.GRID} + 1.0::DOUBLE / {mixing.GRID} ELSE wished END AS a FROM e
+        ),
+        r AS (
+            SELECT source, tokens, CASE WHEN share > 0 THEN pow(share, a - 1) / (SELECT min(pow(share, a - 1)) FROM u) ELSE 1 END AS times FROM s, x
+        ),
+        p AS (SELECT source, floor(times + 1e-9) AS whole, floor((times - floor(times + 1e-9)) * tokens) AS budget FROM r),
+        c AS (
+            SELECT m.*, whole + CASE WHEN budget > 0 AND coalesce(sum(n_tokens) OVER lower, 0) < budget THEN 1 ELSE 0 END AS copies
+            FROM m JOIN p USING (source)
+            WINDOW lower AS (PARTITION BY m.source ORDER BY spot RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+        SELECT doc_id, source, n_tokens, epoch::BIGINT AS epoch, {_place(f"'{mixing.SEED}'", "epoch::VARCHAR", "spot::VARCHAR")} AS place
+        FROM (SELECT *, unnest(range(1, copies::BIGINT + 1)) AS epoch FROM c)
+    """,
 }
