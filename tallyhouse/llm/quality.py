@@ -2,20 +2,21 @@
 
 Words are `[^\\x20\\x09-\\x0D]+` of the whole text. Two histograms describe a document:
 its code points by character class, and its words by the language's most common words
-(and "any other"). A language's reference is the sum over its own documents that pass the
+(and "any other"). The reference of a `lang` value is the sum over its own documents that pass the
 base rules, each scaled to parts per million so that no long document rules it. A document
 is rejected when the Jensen-Shannon distance (square root of the divergence to base 2) of
 either histogram is over the bound.
 
 Guards: documents under `MIN_WORDS` words are left to the base rules; the word histogram
 needs `MIN_WORDS_FOR_WORDS` words and a language with a word list; a reference needs
-`MIN_REFERENCE` documents. Where a guard does not hold the distance is null and rejects nothing.
+`MIN_REFERENCE` documents. Where a guard does not hold the distance is null and rejects nothing; `judged_by`
+tells which rules a document met.
 
-Everything is built-in functions. The references are at most one row for each listed language
-and one for all others, so they are broadcast.
+Everything is built-in functions. The references are one row for each `lang` value; they are broadcast while
+they are few, else joined by language.
 
-Defined cases: null text has no words; null or unlisted `lang` joins the group of others;
-without a `lang` column all rows do. Repeated rows each get their own result.
+Defined cases: null text has no words; null `lang` is a language like any other, the same as an empty one;
+without a `lang` column all rows are of it. Repeated rows each get their own result.
 """
 
 from __future__ import annotations
@@ -42,14 +43,14 @@ MAX_CLASS_DISTANCE = 0.3
 #: A text without one common word comes to about 0.375, as `any other` holds three quarters of the references' words.
 MAX_WORD_DISTANCE = 0.27
 SCALE = 1_000_000
+#: References (about 300 bytes each) that may be broadcast.
+BROADCAST_LANGUAGES = 10_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
 def language(docs: DataFrame) -> Column:
-    """The listed language of a row, else an empty string."""
-    if "lang" not in docs.columns:
-        return F.lit("")
-    return F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise("")
+    """The language of a row, an empty string without one."""
+    return F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
 
 
 def _repeated_words(words: str, size: int) -> list[tuple[str, str]]:
@@ -140,9 +141,12 @@ def js_distance(p: str, q: str) -> Column:
 
 def judged(counts: DataFrame) -> DataFrame:
     """The counts with base_failed, class_distance, word_distance and kept."""
-    known = counts.join(F.broadcast(references(counts)), F.col("__lang") == F.col("__of"), "left")
+    known_languages = settle(references(counts))
+    if known_languages.count() <= BROADCAST_LANGUAGES:
+        known_languages = F.broadcast(known_languages)
+    known = counts.join(known_languages, F.col("__lang") == F.col("__of"), "left")
     enough = (F.col("n_words") >= MIN_WORDS) & (F.col("__n") >= MIN_REFERENCE)
-    listed = (F.col("n_words") >= MIN_WORDS_FOR_WORDS) & (F.col("__lang") != "")
+    listed = (F.col("n_words") >= MIN_WORDS_FOR_WORDS) & F.col("__lang").isin(*COMMON_WORDS)
     known = known.withColumns(
         {
             "class_distance": F.when(enough, js_distance("__classes", "__ref_classes")),
@@ -151,14 +155,15 @@ def judged(counts: DataFrame) -> DataFrame:
         }
     )
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
-    return known.withColumn("kept", ~F.col("base_failed") & ~far)
+    rules = F.when(F.col("word_distance").isNotNull(), "classes and words").when(F.col("class_distance").isNotNull(), "classes").otherwise("base")
+    return known.withColumns({"judged_by": rules, "kept": ~F.col("base_failed") & ~far})
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row for each document: its counts, distances and verdict."""
     counts = settle(base_counts(docs))
     return judged(counts).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "judged_by", "kept"
     )
 
 

@@ -172,7 +172,7 @@ TWINS: dict[str, str] = {
         ),
         r AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY row),
         c AS (
-            SELECT w.row, doc_id, CASE WHEN listed THEN lang ELSE '' END AS lang, len(words) AS n_words,
+            SELECT w.row, doc_id, listed, coalesce(lang, '') AS lang, len(words) AS n_words,
                 length(list_aggregate(words, 'string_agg', '')) AS chars, coalesce(r.n, 0) AS n_repeat_words,
                 len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                 length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -203,13 +203,14 @@ TWINS: dict[str, str] = {
                 CASE WHEN n_words >= {quality.MIN_WORDS} AND q.n >= {quality.MIN_REFERENCE} THEN {_distance(
                     "list_transform(h.classes, lambda x: x / list_sum(h.classes))", "list_transform(q.classes, lambda x: x / list_sum(q.classes))"
                 )} END AS far_classes,
-                CASE WHEN n_words >= {quality.MIN_WORDS_FOR_WORDS} AND q.n >= {quality.MIN_REFERENCE} AND h.lang <> '' THEN {_distance(
+                CASE WHEN n_words >= {quality.MIN_WORDS_FOR_WORDS} AND q.n >= {quality.MIN_REFERENCE} AND h.listed THEN {_distance(
                     "list_transform(h.kinds, lambda x: x / list_sum(h.kinds))", "list_transform(q.kinds, lambda x: x / list_sum(q.kinds))"
                 )} END AS far_words
             FROM h LEFT JOIN q ON q.lang = h.lang
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             round(far_classes, 6) AS class_distance, round(far_words, 6) AS word_distance,
+            CASE WHEN far_words IS NOT NULL THEN 'classes and words' WHEN far_classes IS NOT NULL THEN 'classes' ELSE 'base' END AS judged_by,
             NOT base_failed AND coalesce(far_classes, 0) <= {quality.MAX_CLASS_DISTANCE} AND coalesce(far_words, 0) <= {quality.MAX_WORD_DISTANCE} AS kept
         FROM d
     """,

@@ -236,7 +236,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(index: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, url of every record of an index."""
-    rows = index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    rows = index.select("path", "offset", "length")
+    # as many tasks as files: the cost follows the archives' bytes, not the index rows
+    tasks = max(rows.select("path").distinct().count(), 1)
+    rows = rows.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     return rows.mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
