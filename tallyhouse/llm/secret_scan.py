@@ -14,8 +14,7 @@ others form short runs between such tokens, which are decoded side by side.
 Spans of the model that overlap a base span are left out; base spans always stay.
 
 Defined cases: a null text is empty and has no spans; repeated rows each get their own result;
-counts of a token's characters are taken from its first 4,000 bytes; an empty table trains on
-made-up windows only.
+a token of any length is counted whole; an empty table trains on made-up windows only.
 """
 
 from __future__ import annotations
@@ -37,7 +36,6 @@ from tallyhouse.llm.textscan import _fold_table, chunks_of, scan_words, text_buf
 TRAIN_DOCS, TRAIN_WINDOWS, WINDOW_TOKENS = 512, 1600, 40
 ROUNDS, RATE, DECAY, SEED = 120, 0.5, 2e-4, 7
 CHUNK = 2 << 20
-LONGEST = 4000
 
 #: The base patterns, their least lengths, and the kinds in order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -54,20 +52,18 @@ _TOKEN_BYTE = lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 or b
 TOKENS = _fold_table(_TOKEN_BYTE)
 
 
-def _packed_classes() -> tuple[np.ndarray, np.ndarray]:
-    """For each byte: one count in the field of its class (digit, upper, lower, hex letter, mark), and the class."""
-    packed, kind = np.zeros(256, np.uint64), np.zeros(256, np.uint8)
-    for b in range(256):
-        field = 0 if 0x30 <= b <= 0x39 else 1 if 0x41 <= b <= 0x5A else 2 if 0x61 <= b <= 0x7A else 4 if b in b"+/_.-" else None
-        if field is not None:
-            packed[b] += 1 << 12 * field
-            kind[b] = field + 1
-        if b in b"abcdefABCDEF":
-            packed[b] += 1 << 36
-    return packed, kind
+def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are digits, upper, lower, hex letters and marks (a row each), and each byte's one class but hex."""
+    rows = (b"0123456789", bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)), b"abcdefABCDEF", b"+/_.-")
+    member, kind = np.zeros((len(rows), 256), bool), np.zeros(256, np.uint8)
+    for i, row in enumerate(rows):
+        member[i, list(row)] = True
+        if i != 3:
+            kind[list(row)] = i + 1
+    return member, kind
 
 
-PACKED, KIND = _packed_classes()
+MEMBER, KIND = _byte_classes()
 SIZES = (10, 32, 10, 8, 8, 32, 2 * (len(KEYWORDS) + 1), 2, 2, 10, 12, 4, 10)
 BASES = np.concatenate([[0], np.cumsum(SIZES)])
 
@@ -93,18 +89,20 @@ def featured(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     """The tokens of all texts with their feature numbers, one column a feature."""
     words = scan_words(data, offsets, TOKENS)
     n = len(words.hash)
-    stop = np.minimum(words.end, words.start + LONGEST)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(PACKED[data], out=sums[1:])
-    held = sums[stop] - sums[words.start]
-    digit, upper, lower, hexes, mark = (((held >> np.uint64(12 * i)) & np.uint64(4095)).astype(np.int32) for i in range(5))
-    del sums, held
+    sums = np.zeros(len(data) + 1, np.int64)
+
+    def held(member: np.ndarray) -> np.ndarray:
+        np.cumsum(member[data], out=sums[1:])
+        return sums[words.end] - sums[words.start]
+
+    digit, upper, lower, hexes, mark = (held(member) for member in MEMBER)
+    del sums
     kind = KIND[data]
     changes = np.zeros(len(data) + 1, np.int32)
     np.cumsum(kind[1:] != kind[:-1], out=changes[2:])
-    change = changes[stop] - changes[np.minimum(words.start + 1, stop)]
+    change = changes[words.end] - changes[np.minimum(words.start + 1, words.end)]
     del changes, kind
-    size = (stop - words.start).astype(np.int32)
+    size = words.end - words.start
     other = size - digit - upper - lower - mark
     length = _bucket(size, (4, 8, 12, 16, 20, 32, 40, 64, 128))
     plain = (other == 0) & (digit + hexes == size)
