@@ -10,9 +10,10 @@ as a wavelet matrix with packed bits and block counts. All phrases are searched
 together, two ranks a word; the rows found are walked to the next sampled suffix position.
 Covered words merge to removal spans.
 
-Documents never leave their task and are not shuffled. Phrases are sent to the tasks in blocks
-of at most `BLOCK` (about 20 MB); each further block is one more pass over the shard inside the
-same stage, so a benchmark of any size works.
+Documents never leave their task and are not shuffled. The distinct phrases, each with its items,
+are written in blocks of about `BLOCK` (20 MB); a task builds a shard's index once and searches
+block after block in it, with one block in memory, so a benchmark of any size works. The driver
+sees the block files' names only.
 
 Defined cases: a null text or item has no words; repeated rows each get their own result;
 an item whose id is null marks words but is not listed; an empty benchmark hits nothing.
@@ -22,20 +23,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm import files
 from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.textscan import ALNUM, Words, chunks_of, scan_words, text_buffer
+from tallyhouse.session import fresh_dir
+from tallyhouse.storage import settle
 
 WINDOW = 13
 SHARD = 4 << 20
 BLOCK = 200_000
+EMITTED = 50_000
 SAMPLE = 16
 
 N_WORDS, SPANS, HITS, ITEMS = "__n_words", "__spans", "__hit_words", "__items"
@@ -184,68 +192,96 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """Distinct phrases as word fingerprints, right-aligned, and the items that hold each."""
+    """Distinct phrases as word fingerprints, right-aligned; pairs of phrase and item by phrase."""
 
     words: np.ndarray
     lengths: np.ndarray
     of_phrase: np.ndarray
-    item: np.ndarray
-    names: list[str | None]
-
-
-def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> Iterator[Phrases]:
-    """The test phrases in blocks of bounded size."""
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator()
-    held: dict[tuple, set[int]] = {}
-    names: list[str | None] = []
-    for item_id, text in rows:
-        data, offsets = text_buffer(pa.array([text], pa.string()))
-        words = scan_words(data, offsets, ALNUM).hash.tolist()
-        names.append(item_id)
-        for i in range(max(len(words) - window + 1, 1 if words else 0)):
-            held.setdefault(tuple(words[i : i + window]), set()).add(len(names) - 1)
-        if len(held) >= block:
-            yield _packed(held, names, window)
-            held, names = {}, []
-    if held or not names:
-        yield _packed(held, names, window)
-
-
-def _packed(held: dict[tuple, set[int]], names: list[str | None], window: int) -> Phrases:
-    words = np.zeros((len(held), window), np.uint64)
-    lengths = np.array([len(p) for p in held], np.int64)
-    for i, phrase in enumerate(held):
-        words[i, window - len(phrase) :] = phrase
-    pairs = [(i, item) for i, items in enumerate(held.values()) for item in sorted(items)]
-    of_phrase, item = np.array(pairs, np.int64).reshape(-1, 2).T
-    return Phrases(words, lengths, of_phrase, item, names)
-
-
-def occurrences(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """First word and phrase of every occurrence in the shard."""
-    none = np.zeros(0, np.int64)
-    if not len(words.hash) or not len(phrases.lengths):
-        return none, none
-    codes, distinct = pd.factorize(words.hash)
-    where = np.arange(len(codes)) + words.doc
-    symbols = np.ones(int(where[-1]) + 2, np.int64)
-    symbols[where] = codes + 2
-    sorter = np.argsort(distinct)
-    slot = np.minimum(np.searchsorted(distinct, phrases.words, sorter=sorter), len(distinct) - 1)
-    known = distinct[sorter[slot]] == phrases.words
-    known |= np.arange(phrases.words.shape[1])[None, :] < (phrases.words.shape[1] - phrases.lengths)[:, None]
-    ready = np.flatnonzero(known.all(axis=1))
-    if not len(ready):
-        return none, none
-    index = FMIndex(symbols)
-    low, high = index.search(sorter[slot[ready]] + 2, phrases.lengths[ready])
-    count = high - low
-    total = int(count.sum())
-    rows = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(total)
-    place = index.locate(rows)
-    word_at = np.zeros(len(symbols), np.int64)
-    word_at[where] = np.arange(len(codes))
-    return word_at[place], np.repeat(ready, count)
+    names: pa.Array
+
+
+def _phrases(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks_of(batches, "text", SHARD):
+            data, offsets = text_buffer(batch.column(1))
+            words = scan_words(data, offsets, ALNUM)
+            word_from = np.searchsorted(words.doc, np.arange(len(offsets)))
+            for doc, item in enumerate(batch.column(0).to_pylist()):
+                held = words.hash[word_from[doc] : word_from[doc + 1]]
+                if not len(held):
+                    continue
+                windows = np.lib.stride_tricks.sliding_window_view(held, min(window, len(held)))
+                # a long item goes out in parts
+                for i in range(0, len(windows), EMITTED):
+                    part = np.ascontiguousarray(windows[i : i + EMITTED])
+                    ends = np.arange(len(part) + 1, dtype=np.int32) * np.int32(8 * part.shape[1])
+                    phrase = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(ends), pa.py_buffer(part)])
+                    yield pa.RecordBatch.from_arrays([phrase, pa.array([item] * len(part), pa.string())], names=["phrase", "item"])
+
+    return run
+
+
+def write_phrases(benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> list[str]:
+    """Write the distinct test phrases with their items; returns the block files, each phrase in one of them."""
+    spark = benchmark.sparkSession
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    pairs = settle(rows.mapInArrow(_phrases(window), "phrase binary, item string").distinct())
+    blocks = -(-pairs.select("phrase").distinct().count() // block)
+    folder = fresh_dir(spark, "phrases")
+    pairs.repartition(max(blocks, 1), "phrase").write.parquet(folder)
+    return sorted(spark.read.schema(pairs.schema).parquet(folder).inputFiles())
+
+
+def read_phrases(path: str, window: int = WINDOW) -> Phrases:
+    """One block of phrases."""
+    with files.open_input(path) as source:
+        pairs = pq.read_table(source).combine_chunks()
+    if not len(pairs):
+        return Phrases(np.zeros((0, window), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.string()))
+    coded = pairs["phrase"].chunk(0).dictionary_encode()
+    distinct, codes = coded.dictionary, coded.indices.to_numpy()
+    lengths = pc.binary_length(distinct).to_numpy().astype(np.int64) // 8
+    words = np.zeros((len(distinct), window), np.uint64)
+    words[np.arange(window)[None, :] >= (window - lengths)[:, None]] = np.frombuffer(distinct.buffers()[2], np.uint64, int(lengths.sum()))
+    order = np.argsort(codes, kind="stable")
+    return Phrases(words, lengths, codes[order].astype(np.int64), pairs["item"].chunk(0).take(pa.array(order)))
+
+
+class Shard:
+    """The words of a shard; its index is built once, for the first block with a phrase of known words."""
+
+    def __init__(self, words: Words):
+        self.codes, self.distinct = pd.factorize(words.hash)
+        self.where = np.arange(len(self.codes)) + words.doc
+        self.sorter = np.argsort(self.distinct)
+
+    @cached_property
+    def index(self) -> FMIndex:
+        symbols = np.ones(int(self.where[-1]) + 2, np.int64)
+        symbols[self.where] = self.codes + 2
+        return FMIndex(symbols)
+
+    @cached_property
+    def word_at(self) -> np.ndarray:
+        at = np.zeros(int(self.where[-1]) + 2, np.int64)
+        at[self.where] = np.arange(len(self.codes))
+        return at
+
+    def occurrences(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """First word and phrase of every occurrence in the shard."""
+        none = np.zeros(0, np.int64)
+        if not len(self.codes) or not len(phrases.lengths):
+            return none, none
+        slot = np.minimum(np.searchsorted(self.distinct, phrases.words, sorter=self.sorter), len(self.distinct) - 1)
+        known = self.distinct[self.sorter[slot]] == phrases.words
+        known |= np.arange(phrases.words.shape[1])[None, :] < (phrases.words.shape[1] - phrases.lengths)[:, None]
+        ready = np.flatnonzero(known.all(axis=1))
+        if not len(ready):
+            return none, none
+        low, high = self.index.search(self.sorter[slot[ready]] + 2, phrases.lengths[ready])
+        count = high - low
+        rows = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        return self.word_at[self.index.locate(rows)], np.repeat(ready, count)
 
 
 def _points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -253,32 +289,35 @@ def _points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
 
 
-def _marker(phrases: Phrases, first: bool, keep_text: bool):
+def _marker(paths: list[str], window: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = read_phrases(paths[0], window) if len(paths) == 1 else None
         for batch in chunks_of(batches, "text", SHARD):
             names = batch.schema.names
             column = lambda name: batch.column(names.index(name))  # noqa: B023, E731
             data, offsets = text_buffer(column("text"))
             n = len(offsets) - 1
             words = scan_words(data, offsets, ALNUM)
-            at, phrase = occurrences(words, phrases)
-            edge = np.bincount(at, minlength=len(words.hash) + 1) - np.bincount(at + phrases.lengths[phrase], minlength=len(words.hash) + 1)
-            hit = np.cumsum(edge[:-1]) > 0
+            shard = Shard(words)
+            edge = np.zeros(len(words.hash) + 1, np.int64)
             items: list[set] = [set() for _ in range(n)]
-            seen = np.unique(words.doc[at] * len(phrases.lengths) + phrase) if len(at) else at
-            for code in seen.tolist():
-                doc, p = divmod(code, len(phrases.lengths))
-                a, b = np.searchsorted(phrases.of_phrase, [p, p + 1])
-                items[doc].update(phrases.names[i] for i in phrases.item[a:b])
+            for path in paths:
+                phrases = only or read_phrases(path, window)
+                at, phrase = shard.occurrences(phrases)
+                if not len(at):
+                    continue
+                edge += np.bincount(at, minlength=len(edge))
+                edge -= np.bincount(at + phrases.lengths[phrase], minlength=len(edge))
+                for code in np.unique(words.doc[at] * len(phrases.lengths) + phrase).tolist():
+                    doc, p = divmod(code, len(phrases.lengths))
+                    a, b = np.searchsorted(phrases.of_phrase, [p, p + 1])
+                    items[doc].update(phrases.names[a:b].to_pylist())
+            hit = np.cumsum(edge[:-1]) > 0
             marked: list[list] = [[] for _ in range(n)]
             touched = np.unique(words.doc[hit])
             word_from = np.searchsorted(words.doc, np.arange(n + 1))
             for doc in touched.tolist():
                 marked[doc] = (np.flatnonzero(hit[word_from[doc] : word_from[doc + 1]])).tolist()
-            if not first:
-                for doc, (more, told) in enumerate(zip(column(HITS).to_pylist(), column(ITEMS).to_pylist())):
-                    marked[doc] = sorted({*marked[doc], *more})
-                    items[doc].update(told)
             spans: list[list] = [[] for _ in range(n)]
             for doc in range(n):
                 if marked[doc]:
@@ -305,15 +344,9 @@ def marked_documents(docs: DataFrame, benchmark: DataFrame, keep_text: bool = Tr
     """All columns with the number of words, the removal spans in code points, hit word places and items."""
     docs = docs.withColumn("text", F.col("text").cast("string"))
     extra = [T.StructField(N_WORDS, T.LongType()), T.StructField(SPANS, SPAN_TYPE), T.StructField(HITS, T.ArrayType(T.LongType())), T.StructField(ITEMS, T.ArrayType(T.StringType()))]
-    blocks = phrase_blocks(benchmark, window, block)
-    phrases, first = next(blocks), True
-    while phrases is not None:
-        following = next(blocks, None)
-        text_stays = keep_text or following is not None
-        fields = [f for f in docs.schema.fields if f.name not in (N_WORDS, SPANS, HITS, ITEMS) and (text_stays or f.name != "text")]
-        docs = docs.mapInArrow(_marker(phrases, first, text_stays), T.StructType([*fields, *extra]))
-        phrases, first = following, False
-    return docs
+    fields = [f for f in docs.schema.fields if f.name not in (N_WORDS, SPANS, HITS, ITEMS) and (keep_text or f.name != "text")]
+    marker = _marker(write_phrases(benchmark, window, block), window, keep_text)
+    return docs.mapInArrow(marker, T.StructType([*fields, *extra]))
 
 
 def contaminated() -> Column:
