@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleansing as C
@@ -550,5 +550,24 @@ def streamed_files(w: Warehouse) -> DataFrame:
     )
 
 
+def streamed_feeds(w: Warehouse) -> DataFrame:
+    """The landed CSV files of both feeds as streams of lines, through bronze into store-day slices."""
+    sources = (
+        ("feed_a", feeds.stream_feed_a_text(w.spark, landed(w).a), "Net Sales",
+         lambda text, balance: feeds.staged_a(text, balance, LOADED)),
+        ("feed_b", feeds.stream_feed_b_text(w.spark, landed(w).b), "FinalPrice",
+         lambda text, balance: feeds.staged_b(text, balance, LOADED, w.settings.brand)),
+    )
+    found = []
+    for name, text, amount, stage in sources:
+        schema = stage(text.sparkSession.createDataFrame([], text.schema), Observation()).drop("_reason", "_line").schema
+        target = reload.Table(w.spark, fresh_dir(w.spark, name), schema, ("Date",))
+        rejects = file_stream.rejects_table(w.spark, fresh_dir(w.spark, f"{name}-rejects"))
+        file_stream.ingest_feed(text, stage, target, rejects)
+        slices = target.read().groupBy(F.col("Location").alias("location"), F.col("Date").alias("sale_date"))
+        found.append(slices.agg(F.lit(name).alias("feed"), F.count("*").alias("lines"), F.sum(amount).alias("amount")))
+    return found[0].unionByName(found[1])
+
+
 def late_arrivals(w: Warehouse) -> DataFrame:
     return incremental.late_arrivals(w.stg_orders)

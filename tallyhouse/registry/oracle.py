@@ -732,6 +732,9 @@ TWINS: dict[str, str] = {
  (SELECT max(sale_date) - 35 FROM st WHERE sale_date < DATE '2001-03-01') GROUP BY 1"""),
     "I5_file_stream": q(f"""SELECT store_name, _source_system, {big('count(*)')} AS lines, {dbl('sum(net_sales)')} AS net_sales
  FROM st GROUP BY 1, 2"""),
+    "I5_feed_stream": q(f"""SELECT 'feed_a' AS feed, loc AS location, d AS sale_date, {big('count(*)')} AS lines, {dbl('sum(cur)')} AS amount
+ FROM ta GROUP BY ALL UNION ALL SELECT 'feed_b', 'Bluebird Coffee ' || CASE nk WHEN 1 THEN 'Las_Vegas' WHEN 2 THEN 'Meijer_Midtown'
+ ELSE 'Nation_' || nk END AS location, d, {big('count(*)')}, {dbl('sum(fpx)')} FROM tb WHERE typ IN ('SALE', 'UPDATE') GROUP BY ALL"""),
     "I6_late_arrivals": q(f"""SELECT _source_system AS source_system, {big('n')} AS row_count, {big('l')} AS late_rows,
  {rdiv('l', 'n', 4)} AS late_share FROM (SELECT _source_system, count(*) AS n,
  count(*) FILTER (CAST(_ingested_at AS DATE) - sale_date > 2) AS l FROM st GROUP BY 1)"""),

@@ -360,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "I3_refresh_months": A.refreshed_fact,
     "I4_lookback": A.lookback_rows,
     "I5_file_stream": A.streamed_files,
+    "I5_feed_stream": A.streamed_feeds,
     "I6_late_arrivals": A.late_arrivals,
     # data quality
     "T1_not_null": _null_checks,

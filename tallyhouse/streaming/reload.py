@@ -66,7 +66,12 @@ class Table:
             return self.replace_partitions(df)
         slices = settle((df if slices is None else slices).select(*keys).distinct())
         parts = settle(slices.select(*by).distinct())
-        kept = self.read().join(parts, by, "left_semi").join(slices, keys, "left_anti")
+        # the folders are known, so the scan lists them as partition filters
+        held_in = [[r[0] for r in parts.select(p).distinct().collect()] for p in by]
+        near = self.read()
+        for name, values in zip(by, held_in):
+            near = near.filter(F.col(name).isin([v for v in values if v is not None]))
+        kept = near.join(parts, by, "left_semi").join(slices, keys, "left_anti")
         after = settle(kept.select(*self.schema.names).unionByName(df.select(*self.schema.names)))
         empty = []
         if self.exists():
