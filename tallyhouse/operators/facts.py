@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import cleansing as C
 from tallyhouse.functions.measures import month_start, ratio
 from tallyhouse.settings import UNKNOWN
+from tallyhouse.storage import settle
 
 ORDER_KEY = ["source_system", "order_id"]
 
@@ -157,14 +158,21 @@ def legacy_sales_cells(stg, dim_date, dim_store, dim_product, dim_destination) -
 def attribute_campaigns(sales: DataFrame, campaigns: DataFrame, day: str) -> DataFrame:
     """Left interval join: a missing start or end leaves that side open.
 
-    ``sales`` should already be one row per product and day, which bounds the
-    interval test by products times days instead of by lines.
+    ``sales`` should already be one row per product and day. A campaign has a row for each month of the
+    sales that it meets, and the month is part of the join key: a product's day meets the campaigns of its
+    month only, however many campaigns the product ever had, and a long campaign is split over tasks.
     """
+    sales = settle(sales)
+    first, last = (F.lit(d) for d in sales.agg(F.min(day), F.max(day)).head())
+    start, end = F.col("campaign_start_date"), F.col("campaign_end_date")
     spans = campaigns.filter(F.col("product_canonical_name").isNotNull()).select(
         F.col("product_canonical_name").alias("_product"),
         "campaign_key", "campaign_name", "campaign_start_date", "campaign_end_date",
+        F.greatest(start, first.cast("date")).alias("_from"), F.least(end, last.cast("date")).alias("_to"),
     )
-    begun = F.col("campaign_start_date").isNull() | (F.col(day) >= F.col("campaign_start_date"))
-    open_ = F.col("campaign_end_date").isNull() | (F.col(day) <= F.col("campaign_end_date"))
-    same = F.col("product_canonical_name") == F.col("_product")
-    return sales.join(spans, same & begun & open_, "left").drop("_product")
+    months = F.sequence(F.trunc("_from", "MM"), F.trunc("_to", "MM"), F.expr("interval 1 month"))
+    binned = spans.filter("_from <= _to").withColumn("_month", F.explode(months)).drop("_from", "_to")
+    begun = start.isNull() | (F.col(day) >= start)
+    open_ = end.isNull() | (F.col(day) <= end)
+    same = (F.col("product_canonical_name") == F.col("_product")) & (F.trunc(F.col(day), "MM") == F.col("_month"))
+    return sales.join(binned, same & begun & open_, "left").drop("_product", "_month")
