@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleansing as C
 from tallyhouse.functions.measures import ratio, share_of_rows
+from tallyhouse.operators import facts
 from tallyhouse.operators.facts import ORDER_KEY, attribute_campaigns
 from tallyhouse.plans.dashboard import (
     days,
@@ -298,3 +299,15 @@ def staff_names(w: Warehouse) -> DataFrame:
     a = w.raw_a.select(C.tidy("Employee Name").alias("employee_name"))
     b = w.raw_b.select(C.tidy("Staff").alias("employee_name"))
     return a.union(b).distinct()
+
+
+def distinct_orders_by_level(w: Warehouse) -> DataFrame:
+    """Distinct orders of each month, of its stores and of its employees, from one table of bitmaps."""
+    stores = facts.distinct_orders(w.order_bitmaps, "sale_month", "store_key")
+    staff = facts.distinct_orders(w.order_bitmaps, "sale_month", "employee_key")
+    months = facts.distinct_orders(w.order_bitmaps, "sale_month")
+
+    def level(name, rows, member):
+        return rows.select(F.lit(name).alias("level"), "sale_month", member.cast("bigint").alias("member_key"), "order_count")
+
+    return level("store", stores, F.col("store_key")).unionByName(level("employee", staff, F.col("employee_key"))).unionByName(level("month", months, F.lit(None)))

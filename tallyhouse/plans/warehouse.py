@@ -200,6 +200,16 @@ class Warehouse:
             MONTH,
         )
 
+    @cached_property
+    def order_bitmaps(self) -> DataFrame:
+        return self._keep(
+            "order_bitmaps",
+            lambda: facts.order_bitmaps(
+                self.stg_orders, self.dim_date, self.dim_store, self.dim_employee
+            ),
+            MONTH,
+        )
+
     # --- load manifest -----------------------------------------------------------
 
     @cached_property

@@ -508,6 +508,10 @@ TWINS: dict[str, str] = {
     "D4_fact_by_employee": q(f"""SELECT date_key, store_key, employee_key, mon AS sale_month, {dbl('net_sales')} AS net_sales,
  {big('order_count')} AS order_count, {dbl('tip_amount')} AS tip_amount, {dbl('tax_amount')} AS tax_amount,
  {dbl('discount_total')} AS discount_total, {ts('ing')} AS _ingested_at, {rdiv('net_sales', 'order_count', 2)} AS avg_ticket FROM fe"""),
+    "D4_distinct_day_cells": q(f"SELECT date_key, store_key, employee_key, {big('order_count')} AS order_count FROM fe"),
+    "D4_distinct_roll_ups": q(" UNION ALL ".join(
+        f"SELECT '{level}' AS level, mon AS sale_month, {member} AS member_key, {big('count(DISTINCT order_ref)')} AS order_count FROM il GROUP BY ALL"
+        for level, member in (("store", "store_key"), ("employee", "employee_key"), ("month", "CAST(NULL AS BIGINT)")))),
     "D5_legacy_cells": q(f"""SELECT date_key, store_key, product_key, destination_key, {dbl('sum(net_sales)')} AS net_sales,
  {big('count(DISTINCT order_id)')} AS order_count, {dbl('sum(tip_amount)')} AS tip_amount,
  {dbl('sum(tax_amount)')} AS tax_amount, {dbl('sum(discount_total)')} AS discount_total,

@@ -59,6 +59,16 @@ RESULT_XML = T.StructType(
     [T.StructField("ResultCode", T.StringType()), T.StructField("Message", T.StringType())]
 )
 
+#: A whole payload, orders in its envelope or alone; text that is not well-formed comes out in the last column alone.
+PAYLOAD_XML = T.StructType(
+    [
+        *RESULT_XML.fields,
+        T.StructField("Orders", T.StructType([T.StructField("Order", T.ArrayType(ORDER_XML))])),
+        T.StructField("Order", T.ArrayType(ORDER_XML)),
+        T.StructField("_corrupt_record", T.StringType()),
+    ]
+)
+
 CAMPAIGN_SEED = "product_canonical_name string, campaign_name string, " \
     "campaign_start_date date, campaign_end_date date"
 MANIFEST = "source_name string, filename string, row_count bigint, loaded_at timestamp"

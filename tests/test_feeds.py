@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import os
 import re
 from decimal import Decimal
 
@@ -223,3 +224,30 @@ def test_split_refuses_full_targets(spark):
     bronze.assert_empty({"t": mixed.limit(0)})
     with pytest.raises(ValueError, match="t"):
         bronze.assert_empty({"t": mixed})
+
+
+def test_each_payload_is_parsed_once(spark, tmp_path):
+    land(tmp_path, "A", "2026-05-27", payload(order("1", entry("a")) + order("2", entry("b") + entry("c"))))
+    land(tmp_path, "A", "2026-05-28", payload(""))
+    land(tmp_path, "B", "2026-05-27", payload(order("3", entry("d")))[:-30])
+    land(tmp_path, "C", "2026-05-27", payload(order("4", entry("e")), code="7", message="no"))
+    rows = orders_xml._payload_orders(spark, str(tmp_path), None)
+    assert rows.count() == 5 and rows.filter("_order is null").count() == 2
+    good, failed = orders_xml.read_good_orders(spark, str(tmp_path))
+    assert "xml" not in good._jdf.queryExecution().executedPlan().toString().lower()
+    assert sorted(r.Id for r in good.collect()) == ["1", "2"]
+    told = {(r.store, r.ResultCode, r.Message) for r in failed.collect()}
+    assert told == {("B", None, "the payload cannot be parsed"), ("C", "7", "no")}
+
+
+def test_newest_payload_of_a_day_counts(spark, tmp_path):
+    land(tmp_path, "A", "2026-05-27", payload(order("1", entry("a")) + order("2", entry("b"))))
+    land(tmp_path, "B", "2026-05-27", payload(order("1", entry("z"))))
+    folder = tmp_path / "store=A" / "date=2026-05-27"
+    (folder / "later.xml").write_text(payload(order("2", entry("x") + entry("y"))))
+    os.utime(folder / "orders.xml", (1_000_000_000, 1_000_000_000))
+    good, _ = orders_xml.read_good_orders(spark, str(tmp_path))
+    got = {(r.store_name, r.Id): [e.Id for e in r.Entries.OrderEntry] for r in good.collect()}
+    assert got == {("A", "1"): ["a"], ("A", "2"): ["x", "y"], ("B", "1"): ["z"]}
+    direct = orders_xml.read_orders(spark, str(tmp_path))
+    assert sorted(map(str, direct.select(*good.columns).collect())) == sorted(map(str, good.collect()))

@@ -234,6 +234,33 @@ def test_fact_by_employee(star):
     assert (got[20250101, 1].order_count, got[20250101, 1].avg_ticket) == (2, Decimal("12.50"))
 
 
+def test_bitmaps_count_distinct_orders_at_every_level(star):
+    stg, dates, stores, _, _, emp = star
+    bitmaps = facts.order_bitmaps(stg, dates, stores, emp)
+    cells = facts.distinct_orders(bitmaps, "date_key", "store_key", "employee_key")
+    fact = facts.fact_by_employee(stg, dates, stores, emp).select(*cells.columns)
+    assert sorted(cells.collect()) == sorted(fact.collect())
+    whole = facts._placed_lines(stg, dates, stores).select("order_ref").distinct().count()
+    assert facts.distinct_orders(bitmaps, "sale_month").head().order_count == whole
+
+
+def test_bitmaps_of_orders_beyond_one_bucket(spark):
+    dates = spark.sql("select 20250101 + id as date_key, date_add(date'2025-01-01', cast(id as int)) as date from range(3)")
+    stores = spark.sql("select id as store_key, concat('S', id) as store_name from range(2)")
+    emp = spark.sql("select id as employee_key, if(id = 0, 'UNKNOWN', concat('E', id)) as employee_name from range(3)")
+    # 70,000 orders, each on two days, so that days add up to twice the month
+    stg = spark.sql("""select date_add(date'2025-01-01', cast(day as int)) as sale_date, concat('S', if(id % 3 = 0, 1, 0)) as store_name,
+        concat('E', id % 4) as employee_name, concat('o', id) as order_ref
+        from range(70000) join (select id as day from range(2))""")
+    bitmaps = facts.order_bitmaps(stg, dates, stores, emp)
+    assert facts.distinct_orders(bitmaps, "sale_month").head().order_count == 70_000
+    days = {r.date_key: r.order_count for r in facts.distinct_orders(bitmaps, "date_key").collect()}
+    assert days == {20250101: 70_000, 20250102: 70_000}
+    by_store = {r.store_key: r.order_count for r in facts.distinct_orders(bitmaps, "store_key").collect()}
+    assert by_store == {1: 23_334, 0: 46_666}
+    assert facts.order_bitmaps(stg.limit(0), dates, stores, emp).count() == 0
+
+
 def test_legacy_cells_count_orders_twice(star):
     stg, dates, stores, dest, prod, _ = star
     cells = facts.legacy_sales_cells(stg, dates, stores, prod, dest)
