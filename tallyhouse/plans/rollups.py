@@ -302,10 +302,10 @@ def staff_names(w: Warehouse) -> DataFrame:
 
 
 def distinct_orders_by_level(w: Warehouse) -> DataFrame:
-    """Distinct orders of each month, of its stores and of its employees, from one table of bitmaps."""
-    stores = facts.distinct_orders(w.order_bitmaps, "sale_month", "store_key")
-    staff = facts.distinct_orders(w.order_bitmaps, "sale_month", "employee_key")
-    months = facts.distinct_orders(w.order_bitmaps, "sale_month")
+    """Distinct orders of each month, of its stores and of its employees, from one table of orders by cell."""
+    stores = facts.distinct_orders(w.order_cells, "sale_month", "store_key")
+    staff = facts.distinct_orders(w.order_cells, "sale_month", "employee_key")
+    months = facts.distinct_orders(w.order_cells, "sale_month")
 
     def level(name, rows, member):
         return rows.select(F.lit(name).alias("level"), "sale_month", member.cast("bigint").alias("member_key"), "order_count")

@@ -201,10 +201,10 @@ class Warehouse:
         )
 
     @cached_property
-    def order_bitmaps(self) -> DataFrame:
+    def order_cells(self) -> DataFrame:
         return self._keep(
-            "order_bitmaps",
-            lambda: facts.order_bitmaps(
+            "order_cells",
+            lambda: facts.order_cells(
                 self.stg_orders, self.dim_date, self.dim_store, self.dim_employee
             ),
             MONTH,

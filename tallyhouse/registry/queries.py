@@ -249,7 +249,7 @@ QUERIES: dict[str, Query] = {
     "D2_fact_order_detail": lambda w: w.fact_order_detail,
     "D3_fact_sale_item": lambda w: w.fact_sale_item,
     "D4_fact_by_employee": lambda w: w.fact_by_employee,
-    "D4_distinct_day_cells": lambda w: facts.distinct_orders(w.order_bitmaps, "date_key", "store_key", "employee_key"),
+    "D4_distinct_day_cells": lambda w: facts.distinct_orders(w.order_cells, "date_key", "store_key", "employee_key"),
     "D4_distinct_roll_ups": R.distinct_orders_by_level,
     "D5_legacy_cells": _legacy,
     "D6_filtered_aggregate": R.unknown_staff_by_store,
