@@ -31,7 +31,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,16 +158,14 @@ def _gram(fit: DataFrame, dim: int, width: int, turned: Callable[[np.ndarray], n
         for x in _chunks(batches, dim):
             m = turned(x)
             total += m.T @ m
-        yield pa.RecordBatch.from_pydict({"task": pa.array([TaskContext.get().partitionId()]), "sums": pa.array([total.tobytes()], pa.binary())})
-
-    parts = settle(fit.mapInArrow(run, "task long, sums binary"))
-    groups = math.isqrt(parts.count()) + 1
-    level = parts.repartition(groups, (F.col("task") % groups)).select("sums").mapInArrow(_added((width, width)), "sums binary")
-    total = np.zeros((width, width))
-    # one matrix a group: the square root of the tasks
-    for row in level.toLocalIterator():
-        total += np.frombuffer(bytes(row.sums)).reshape(width, width)
-    return total
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+    parts = settle(fit.mapInArrow(run, "sums binary"))
+    added = _added((width, width))
+    level = parts.repartition(math.isqrt(parts.count()) + 1).mapInArrow(added, "sums binary")
+    # the square root of the tasks meets in one task, and one matrix reaches the driver, in one job
+    top = level.repartition(1).mapInArrow(added, "sums binary").collect()
+    return np.frombuffer(bytes(top[0].sums)).reshape(width, width).copy()
 
 
 def _factor(gram: np.ndarray, shift: float) -> np.ndarray:

@@ -74,3 +74,16 @@ def test_tables_without_a_spread(spark):
     assert whitening.whitened(one).collect() == []
     huge = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1e16, 1.0])], "vec_id long, embedding array<double>")
     assert {r.deviation for r in whitening.whitened(huge).collect()} == {None}
+
+
+def test_gram_matrices_of_many_tasks_take_a_few_jobs(spark):
+    """The number of jobs does not follow the number of tasks or groups of them."""
+    rows = np.random.default_rng(5).integers(-900, 900, (400, 3))
+    cells = [(bytearray(c),) for c in whitening._packed(rows)]
+    fit = spark.createDataFrame(cells, "x binary").repartition(144)
+    spark.sparkContext.setJobGroup("gram", "gram")
+    gram = whitening._gram(fit, 3, 3, lambda x: x.astype(float))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("gram")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert np.array_equal(gram, rows.T @ rows)
+    assert len(jobs) <= 10
