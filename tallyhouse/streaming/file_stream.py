@@ -16,12 +16,14 @@ from pyspark.sql import types as T
 from tallyhouse.session import fresh_dir
 from tallyhouse.sources.feeds import LINE, REASON
 from tallyhouse.storage import settle
-from tallyhouse.streaming.incremental import STORE_DAY, complete_slices
+from tallyhouse.streaming.incremental import STORE_DAY, complete_slices, touched_slices
 from tallyhouse.streaming.reload import Table
 
 BATCH = "_batch"
 LINEAGE = ["_source_file", "_source_system", "_ingested_at"]
 REJECTED = "_source_file string, _source_system string, _ingested_at timestamp, _reason string, _line string, _batch long"
+#: Slices that a join surely broadcasts, so that the rows they are looked up for stay where they are.
+FEW_SLICES = 200_000
 BALANCE = ("raw_lines", "kept_lines", "filtered_lines", "rejected_lines")
 
 
@@ -68,7 +70,10 @@ def _add(rows: DataFrame, number: int, target: Table, bronze: Table, keys: list[
     bronze.replace_partitions(rows.withColumn(BATCH, F.lit(number).cast("long")))
     # one value a day that the batch touches
     days = [r[0] for r in rows.select(day).distinct().collect()]
-    target.replace_slices(complete_slices(rows, of_days(bronze, day, days), keys), keys)
+    touched = settle(touched_slices(rows, keys))
+    after = complete_slices(touched, of_days(bronze, day, days), keys)
+    # bronze files hold one day each: their rows need not be gathered by day again, unless a large join dealt them out
+    target.replace_slices(after, keys, gathered=touched.count() <= FEW_SLICES)
 
 
 def ingest_available(

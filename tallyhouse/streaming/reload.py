@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.session import fresh_dir
+from tallyhouse.session import fresh_dir, spread_writers
 from tallyhouse.storage import settle
 
 
@@ -47,23 +47,28 @@ class Table:
         df.select(*self.schema.names).write.parquet(stage)
         return self.spark.read.schema(self.schema).parquet(stage)
 
-    def replace_partitions(self, df: DataFrame, reads_target: bool = False) -> None:
-        """Overwrite the partitions that occur in ``df``; all others stay."""
+    def replace_partitions(self, df: DataFrame, reads_target: bool = False, gathered: bool = False) -> None:
+        """Overwrite the partitions that occur in ``df``; all others stay.
+
+        Rows that come from files of these partitions (``gathered``) lie together and are written where they are.
+        """
         rows = self._stage(df) if reads_target else df.select(*self.schema.names)
-        writer = rows.hint("rebalance", *self.partitions).write.mode("overwrite")
-        writer = writer.partitionBy(*self.partitions)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        writer = (rows if gathered else rows.hint("rebalance", *self.partitions)).write.mode("overwrite")
+        with spread_writers(rows.sparkSession, gathered):
+            writer.partitionBy(*self.partitions).option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
-    def replace_slices(self, df: DataFrame, keys: list[str], slices: DataFrame | None = None) -> None:
+    def replace_slices(
+        self, df: DataFrame, keys: list[str], slices: DataFrame | None = None, gathered: bool = False
+    ) -> None:
         """Replace the slices (values of ``keys``) of ``df``, or the given ones; all other rows stay.
 
         The table may be partitioned by some of the keys only, as by day for (store, day) slices:
         then the other slices of a touched folder are written again with it. A folder that is
-        left without rows goes.
+        left without rows goes. Where there is no table yet, nothing stays and the rows are written once.
         """
         by = list(self.partitions)
-        if slices is None and set(by) == set(keys):
-            return self.replace_partitions(df)
+        if (slices is None and set(by) == set(keys)) or not self.exists():
+            return self.replace_partitions(df, gathered=gathered)
         slices = settle((df if slices is None else slices).select(*keys).distinct())
         parts = settle(slices.select(*by).distinct())
         # the folders are known, so the scan lists them as partition filters
@@ -78,7 +83,7 @@ class Table:
             held = self.folders(F.lit(True)).join(parts, by, "left_semi")
             gone = held.join(after.select(*by).distinct(), by, "left_anti")
             empty = [r.folder for r in gone.select("folder").collect()]
-        self.replace_partitions(after)
+        self.replace_partitions(after, gathered=gathered)
         self.drop_folders(empty)
 
     def overwrite(self, df: DataFrame) -> None:
