@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.session import fresh_dir
+from tallyhouse.session import fresh_dir, passing_work
 from tallyhouse.sources.feeds import LINE, REASON
 from tallyhouse.storage import settle
 from tallyhouse.streaming.incremental import STORE_DAY, complete_slices, touched_slices
@@ -88,7 +88,8 @@ def ingest_available(
     bronze = bronze or bronze_table(target)
 
     def load(batch: DataFrame, number: int) -> None:
-        _add(settle(batch), number, target, bronze, STORE_DAY, "sale_date")
+        with passing_work(target.spark):
+            _add(settle(batch), number, target, bronze, STORE_DAY, "sale_date")
 
     _drain(stream, load, checkpoint or fresh_dir(target.spark, "stream"))
 
@@ -111,14 +112,16 @@ def ingest_feed(
     balances: list[dict[str, int]] = []
 
     def load(batch: DataFrame, number: int) -> None:
-        balance = Observation()
-        rows = settle(stage(batch, balance))
-        found = balance.get
-        balances.append({name: found.get(name) or 0 for name in BALANCE})
-        bad = rows.filter(F.col(REASON).isNotNull()).select(*LINEAGE, REASON, LINE)
-        rejects.replace_partitions(bad.withColumn(BATCH, F.lit(number).cast("long")))
-        good = rows.filter(F.col(REASON).isNull()).drop(REASON, LINE)
-        _add(good, number, target, bronze, ["Location", "Date"], "Date")
+        # a batch's typed rows lie in bronze when it ends
+        with passing_work(target.spark):
+            balance = Observation()
+            rows = settle(stage(batch, balance))
+            found = balance.get
+            balances.append({name: found.get(name) or 0 for name in BALANCE})
+            bad = rows.filter(F.col(REASON).isNotNull()).select(*LINEAGE, REASON, LINE)
+            rejects.replace_partitions(bad.withColumn(BATCH, F.lit(number).cast("long")))
+            good = rows.filter(F.col(REASON).isNull()).drop(REASON, LINE)
+            _add(good, number, target, bronze, ["Location", "Date"], "Date")
 
     _drain(text, load, checkpoint or fresh_dir(target.spark, "stream"))
     return balances
